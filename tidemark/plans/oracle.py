@@ -91,9 +91,68 @@ jj AS (
   FROM j
   WHERE hour_start_ms IN (SELECT hour_start_ms FROM bv) AND hour_start_ms IN (SELECT hour_start_ms FROM sv))"""
 
+def _pattern(within_ms: int) -> str:
+    return f"""
+r AS (SELECT symbol, trade_time AS ts, trade_id AS tid, CAST(price AS DOUBLE) AS price FROM ta),
+d AS (
+  SELECT *, COALESCE(SIGN(price - LAG(price) OVER w), 0) AS d, LEAD(price) OVER w AS np, LEAD(ts) OVER w AS nts
+  FROM r WINDOW w AS (PARTITION BY symbol ORDER BY ts, tid)),
+e AS (SELECT *, CASE WHEN nts IS NULL OR COALESCE(SIGN(np - price), 0) <> d THEN 1 ELSE 0 END AS is_end FROM d),
+g AS (
+  SELECT *, COALESCE(SUM(is_end) OVER (PARTITION BY symbol ORDER BY ts, tid
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run_no
+  FROM e),
+g2 AS (
+  SELECT symbol, run_no, d, FIRST_VALUE(price) OVER wr AS first_price, LAST_VALUE(price) OVER wr AS last_price,
+         LAST_VALUE(ts) OVER wr AS last_ts, LAST_VALUE(np) OVER wr AS next_price, LAST_VALUE(nts) OVER wr AS next_ts
+  FROM g WINDOW wr AS (PARTITION BY symbol, run_no ORDER BY ts, tid
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+runs AS (SELECT DISTINCT * FROM g2),
+cand AS (
+  SELECT f.symbol, f.run_no AS f_run, p.last_price AS peak_price, s.last_price AS second_dip,
+         s.next_price AS breakout_price, s.next_ts AS b_ts
+  FROM runs f JOIN runs p ON p.symbol = f.symbol AND p.run_no = f.run_no + 1
+              JOIN runs s ON s.symbol = f.symbol AND s.run_no = f.run_no + 2
+  WHERE f.d = -1 AND p.d = 1 AND s.d = -1 AND s.next_ts IS NOT NULL
+    AND s.next_price > p.first_price AND s.next_ts - f.last_ts < {within_ms}),
+starts AS (
+  SELECT c.*, g.price AS first_dip, g.ts AS st_ts, g.tid AS st_tid
+  FROM cand c JOIN g ON g.symbol = c.symbol AND g.run_no = c.f_run
+  WHERE c.b_ts - g.ts < {within_ms}),
+c1 AS (
+  SELECT * FROM starts
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol, f_run ORDER BY st_ts, st_tid) = 1),
+c2 AS (
+  SELECT *, CASE WHEN LAG(f_run) OVER (PARTITION BY symbol ORDER BY f_run) = f_run - 2 THEN 0 ELSE 1 END AS is_start,
+         ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY f_run) AS idx
+  FROM c1),
+c3 AS (
+  SELECT *, MAX(CASE WHEN is_start = 1 THEN idx END) OVER (PARTITION BY symbol ORDER BY f_run
+                                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sidx
+  FROM c2)"""
+
+
+DB_COLS = ("symbol, ROUND(first_dip, 6) AS first_dip, ROUND(second_dip, 6) AS second_dip, "
+           "ROUND(peak_price, 6) AS peak_price, ROUND(breakout_price, 6) AS breakout_price")
+
 RUN_TIME_MS = 1_706_747_400_000  # 2024-02-01 00:30:00 UTC
 
 ORACLE: dict[str, str] = {
+    "double_bottom": _with(", " + _pattern(43_200_000).strip() + f"""
+SELECT {DB_COLS}, b_ts AS confirmed_at FROM c3 WHERE (idx - sidx) % 2 = 0"""),
+
+    "double_bottom_next_row": _with(", " + _pattern(43_200_000).strip() + f"""
+SELECT {DB_COLS}, b_ts AS confirmed_at FROM starts"""),
+
+    "double_bottom_latest": _with(", " + _pattern(43_200_000).strip() + f"""
+, sig AS (
+  SELECT symbol, first_dip, second_dip, peak_price, breakout_price, b_ts // 1000 * 1000 AS confirmed_at,
+         CAST(b_ts // 1000 AS BIGINT) AS version FROM starts),
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol, confirmed_at ORDER BY version DESC, first_dip DESC,
+                               second_dip DESC, peak_price DESC, breakout_price DESC) AS rn FROM sig)
+SELECT {DB_COLS}, confirmed_at, version FROM ranked WHERE rn = 1"""),
+
     "vwap_by_window": _with(", " + _vwap(3_600_000, "1h").strip() + """
 SELECT symbol, window_start, window_end, ROUND(vwap, 6) AS vwap, ROUND(total_volume, 6) AS total_volume,
        trade_count, interval_label FROM vw"""),

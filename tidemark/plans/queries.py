@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import interval_join as J
 from tidemark.operators import reads, reconcile, whales
+from tidemark.operators.double_bottom import double_bottom, double_bottom_rows
 from tidemark.operators.latest import latest_by_key
 from tidemark.operators.vwap import batch_vwap_range, vwap_by_window, vwap_rows
 from tidemark.sources import testfeeds
@@ -178,7 +179,37 @@ def q_raw_b_projection(spark, sf_dir) -> DataFrame:
                     "side", "event_time", "ingestion_time")
 
 
+def _db_out(m: DataFrame) -> DataFrame:
+    return m.select("symbol", r6("first_dip").alias("first_dip"), r6("second_dip").alias("second_dip"),
+                    r6("peak_price").alias("peak_price"), r6("breakout_price").alias("breakout_price"),
+                    F.col("confirmed_at_ms").alias("confirmed_at"))
+
+
+def q_double_bottom(spark, sf_dir) -> DataFrame:
+    a, _ = _feeds(spark, sf_dir)
+    return _db_out(double_bottom(a, within_ms=TEST_WITHIN_MS))
+
+
+def q_double_bottom_next_row(spark, sf_dir) -> DataFrame:
+    a, _ = _feeds(spark, sf_dir)
+    return _db_out(double_bottom(a, within_ms=TEST_WITHIN_MS, after_match="next_row"))
+
+
+def q_double_bottom_latest(spark, sf_dir) -> DataFrame:
+    """``next_row`` matches as result rows, read through the latest-by-key view
+    (matches sharing symbol and confirmation second collapse)."""
+    a, _ = _feeds(spark, sf_dir)
+    rows = double_bottom_rows(double_bottom(a, within_ms=TEST_WITHIN_MS, after_match="next_row"))
+    latest = latest_by_key(rows, ["symbol", "confirmed_at"])
+    return latest.select("symbol", r6("first_dip").alias("first_dip"), r6("second_dip").alias("second_dip"),
+                         r6("peak_price").alias("peak_price"), r6("breakout_price").alias("breakout_price"),
+                         ms("confirmed_at").alias("confirmed_at"), "version")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "double_bottom": q_double_bottom,
+    "double_bottom_next_row": q_double_bottom_next_row,
+    "double_bottom_latest": q_double_bottom_latest,
     "vwap_by_window": q_vwap_by_window,
     "vwap_result_rows": q_vwap_result_rows,
     "batch_vwap_range": q_batch_vwap_range,

@@ -58,3 +58,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str, path: str | None = None):
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes from these files, not from
+    the source), lets a result used by several later branches be computed
+    once, and gives the planner real sizes for its join choices."""
+    spark = df.sparkSession
+    p = path or scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(p)
+    return spark.read.parquet(p)
