@@ -132,12 +132,72 @@ c3 AS (
   FROM c2)"""
 
 
+INGEST = """
+fa AS (
+  SELECT * FROM base
+  WHERE (event_type IN ('click', 'purchase') OR (event_type = 'error' AND sym <> 1))
+    AND k % 17 <> 0 AND k % 25 NOT IN (5, 6)),
+fb AS (
+  SELECT * FROM base
+  WHERE (event_type IN ('view', 'signup') OR (event_type = 'error' AND sym = 1))
+    AND k % 23 <> 0 AND k % 19 <> 0),
+pa AS (
+  SELECT 'trade' AS event_type, trade_time + k AS event_time, symbol, event_id AS trade_id,
+         price, quantity, trade_time, even AS is_buyer_maker, trade_time + 20 + 5 * k AS ingestion_time
+  FROM fa WHERE event_type <> 'error'),
+pb AS (
+  SELECT CAST(event_id AS VARCHAR) AS trade_id, product_id, price, quantity AS size,
+         CASE WHEN even THEN 'SELL' ELSE 'BUY' END AS side, trade_time AS event_time,
+         trade_time + 20 + 5 * k AS ingestion_time
+  FROM fb WHERE event_type <> 'error'),
+body_a AS (
+  SELECT *, '{"e":"trade","E":' || CAST(trade_time + k AS VARCHAR) || ',"s":"' || symbol || '","t":'
+            || CAST(event_id AS VARCHAR) || ',"p":"n/a","q":"' || CAST(quantity AS VARCHAR) || '","T":'
+            || CAST(trade_time AS VARCHAR) || ',"m":' || CASE WHEN even THEN 'true' ELSE 'false' END
+            || CASE WHEN k % 10 = 3 THEN '' ELSE ',"M":true' END || '}' AS body
+  FROM fa WHERE event_type = 'error'),
+dead AS (
+  SELECT 'raw-binance-trades' AS original_topic, symbol AS original_key,
+         CASE WHEN k % 7 = 0 THEN body
+              ELSE '{"stream":"' || lower(symbol) || '@trade","data":' || body || '}' END AS payload,
+         'invalid_price' AS error, trade_time + 20 + 5 * k AS failed_at
+  FROM body_a
+  UNION ALL
+  SELECT 'raw-coinbase-match', replace(product_id, '-USD', 'USDT'),
+         '{"channel":"market_trades","events":[{"type":"' || CASE WHEN k % 5 = 0 THEN 'snapshot' ELSE 'update' END
+         || '","trades":[{"trade_id":"' || CAST(event_id AS VARCHAR) || '","product_id":"' || product_id
+         || '","price":"' || CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR) || '","size":"'
+         || CAST(quantity AS VARCHAR) || '","side":"' || CASE WHEN even THEN 'SELL' ELSE 'BUY' END
+         || '","time":"not-a-time"}]}]}',
+         'invalid_time', trade_time + 20 + 5 * k
+  FROM fb WHERE event_type = 'error')"""
+
 DB_COLS = ("symbol, ROUND(first_dip, 6) AS first_dip, ROUND(second_dip, 6) AS second_dip, "
            "ROUND(peak_price, 6) AS peak_price, ROUND(breakout_price, 6) AS breakout_price")
 
 RUN_TIME_MS = 1_706_747_400_000  # 2024-02-01 00:30:00 UTC
 
 ORACLE: dict[str, str] = {
+    "parse_feed_a": _with(", " + INGEST.strip() + """
+SELECT event_type, event_time, symbol, trade_id, ROUND(CAST(price AS DOUBLE), 6) AS price,
+       ROUND(CAST(quantity AS DOUBLE), 6) AS quantity, trade_time, is_buyer_maker, ingestion_time FROM pa"""),
+
+    "parse_feed_b": _with(", " + INGEST.strip() + """
+SELECT trade_id, product_id, ROUND(CAST(price AS DOUBLE), 6) AS price, ROUND(CAST(size AS DOUBLE), 6) AS size,
+       side, event_time, ingestion_time FROM pb"""),
+
+    "dead_letter_rows": _with(", " + INGEST.strip() + """
+SELECT * FROM dead"""),
+
+    "latency_stats": _with(", " + INGEST.strip() + """
+, lat AS (
+  SELECT symbol, 'binance' AS exchange, ingestion_time - trade_time AS l FROM pa
+  UNION ALL
+  SELECT replace(product_id, '-USD', 'USDT'), 'coinbase', ingestion_time - event_time FROM pb)
+SELECT symbol, exchange, COUNT(*) AS trades, MIN(l) AS min_latency_ms, MAX(l) AS max_latency_ms,
+       ROUND(AVG(l), 6) AS avg_latency_ms
+FROM lat GROUP BY 1, 2"""),
+
     "double_bottom": _with(", " + _pattern(43_200_000).strip() + f"""
 SELECT {DB_COLS}, b_ts AS confirmed_at FROM c3 WHERE (idx - sidx) % 2 = 0"""),
 

@@ -206,7 +206,45 @@ def q_double_bottom_latest(spark, sf_dir) -> DataFrame:
                          ms("confirmed_at").alias("confirmed_at"), "version")
 
 
+def _parsed(spark, sf_dir):
+    from tidemark.operators import ingest
+    ev = testfeeds.load(spark, sf_dir)["events"]
+    ta, da = ingest.parse_feed_a(testfeeds.raw_feed_a(ev))
+    tb, db = ingest.parse_feed_b(testfeeds.raw_feed_b(ev))
+    return ta, da, tb, db
+
+
+def q_parse_feed_a(spark, sf_dir) -> DataFrame:
+    ta, _, _, _ = _parsed(spark, sf_dir)
+    return ta.select("event_type", "event_time", "symbol", "trade_id", r6(F.col("price").cast("double")).alias("price"),
+                     r6(F.col("quantity").cast("double")).alias("quantity"), "trade_time", "is_buyer_maker",
+                     "ingestion_time")
+
+
+def q_parse_feed_b(spark, sf_dir) -> DataFrame:
+    _, _, tb, _ = _parsed(spark, sf_dir)
+    return tb.select("trade_id", "product_id", r6(F.col("price").cast("double")).alias("price"),
+                     r6(F.col("size").cast("double")).alias("size"), "side", "event_time", "ingestion_time")
+
+
+def q_dead_letter_rows(spark, sf_dir) -> DataFrame:
+    _, da, _, db = _parsed(spark, sf_dir)
+    return da.unionByName(db)
+
+
+def q_latency_stats(spark, sf_dir) -> DataFrame:
+    from tidemark.operators import ingest
+    ta, _, tb, _ = _parsed(spark, sf_dir)
+    return ingest.latency_stats(ta, tb).select(
+        "symbol", "exchange", "trades", "min_latency_ms", "max_latency_ms",
+        r6("avg_latency_ms").alias("avg_latency_ms"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "parse_feed_a": q_parse_feed_a,
+    "parse_feed_b": q_parse_feed_b,
+    "dead_letter_rows": q_dead_letter_rows,
+    "latency_stats": q_latency_stats,
     "double_bottom": q_double_bottom,
     "double_bottom_next_row": q_double_bottom_next_row,
     "double_bottom_latest": q_double_bottom_latest,
