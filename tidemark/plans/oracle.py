@@ -66,6 +66,9 @@ vw AS (
 WHALE_COLS = ("symbol, ROUND(price, 6) AS price, ROUND(quantity, 6) AS quantity, "
               "ROUND(trade_value, 6) AS trade_value, exchange, side, event_time")
 
+WHALE_COLS_SEC = ("symbol, ROUND(price, 6) AS price, ROUND(quantity, 6) AS quantity, "
+                  "ROUND(trade_value, 6) AS trade_value, exchange, side, event_time // 1000 * 1000 AS event_time")
+
 PAIRS = """
 pairs AS (
   SELECT a.symbol, CAST(a.price AS DOUBLE) AS a_price, CAST(b.price AS DOUBLE) AS b_price,
@@ -178,6 +181,40 @@ DB_COLS = ("symbol, ROUND(first_dip, 6) AS first_dip, ROUND(second_dip, 6) AS se
 RUN_TIME_MS = 1_706_747_400_000  # 2024-02-01 00:30:00 UTC
 
 ORACLE: dict[str, str] = {
+    "stream_vwap": _with(", " + _vwap(3_600_000, "1h").strip() + """
+SELECT symbol, window_start, window_end, ROUND(vwap, 6) AS vwap, ROUND(total_volume, 6) AS total_volume,
+       trade_count, interval_label, CAST(window_start // 1000 AS BIGINT) AS version FROM vw
+WHERE window_end <= (SELECT MAX(trade_time) FROM ta) - 10000"""),
+
+    "stream_whales": _with(f"SELECT {WHALE_COLS_SEC}, CAST(event_time // 1000 AS BIGINT) AS version FROM whales",
+                           normalise=False),
+
+    "stream_arbitrage": _with(", " + PAIRS.format(h=600_000).strip() + """
+SELECT symbol, ROUND(a_price, 6) AS binance_price, ROUND(b_price, 6) AS coinbase_price,
+       ROUND(ABS(a_price - b_price), 6) AS spread, ROUND(ABS(a_price - b_price) / a_price * 100, 6) AS spread_pct,
+       CASE WHEN a_price > b_price THEN 'BUY_COINBASE_SELL_BINANCE' ELSE 'BUY_BINANCE_SELL_COINBASE' END AS direction,
+       a_time_ms // 1000 * 1000 AS event_time, CAST(a_time_ms // 1000 AS BIGINT) AS version
+FROM pairs WHERE a_price <> 0 AND ABS(a_price - b_price) / a_price * 100 > 0.2"""),
+
+    "stream_double_bottom": _with(", " + _pattern(43_200_000).strip() + f"""
+SELECT {DB_COLS}, b_ts // 1000 * 1000 AS confirmed_at, CAST(b_ts // 1000 AS BIGINT) AS version
+FROM c3 WHERE (idx - sidx) % 2 = 0 AND b_ts < (SELECT MAX(trade_time) FROM ta) - 10000"""),
+
+    "stream_lake_a": _with("""
+SELECT symbol, ROUND(price, 6) AS price, ROUND(quantity, 6) AS quantity, trade_time, is_buyer_maker,
+       ingestion_time FROM raw_a"""),
+
+    "stream_lake_b": _with("""
+SELECT trade_id, product_id, ROUND(CAST(price AS DOUBLE), 6) AS price, ROUND(CAST(size AS DOUBLE), 6) AS size,
+       side, event_time, ingestion_time FROM tb"""),
+
+    "stream_ingest_a": _with(", " + INGEST.strip() + """
+SELECT event_type, event_time, symbol, trade_id, ROUND(CAST(price AS DOUBLE), 6) AS price,
+       ROUND(CAST(quantity AS DOUBLE), 6) AS quantity, trade_time, is_buyer_maker, ingestion_time FROM pa"""),
+
+    "stream_dead_letter_b": _with(", " + INGEST.strip() + """
+SELECT * FROM dead WHERE original_topic = 'raw-coinbase-match'"""),
+
     "parse_feed_a": _with(", " + INGEST.strip() + """
 SELECT event_type, event_time, symbol, trade_id, ROUND(CAST(price AS DOUBLE), 6) AS price,
        ROUND(CAST(quantity AS DOUBLE), 6) AS quantity, trade_time, is_buyer_maker, ingestion_time FROM pa"""),

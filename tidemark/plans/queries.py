@@ -240,7 +240,74 @@ def q_latency_stats(spark, sf_dir) -> DataFrame:
         r6("avg_latency_ms").alias("avg_latency_ms"))
 
 
+def q_stream_vwap(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    v = stream_runs.run_vwap(spark, sf_dir, window=TEST_WINDOW, label=TEST_LABEL)
+    return v.select("symbol", ms("window_start").alias("window_start"), ms("window_end").alias("window_end"),
+                    r6("vwap").alias("vwap"), r6("total_volume").alias("total_volume"),
+                    "trade_count", "interval_label", "version")
+
+
+def q_stream_whales(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    w = stream_runs.run_whales(spark, sf_dir)
+    return _whale_out(w).withColumn("version", F.unix_seconds(F.timestamp_millis("event_time")))
+
+
+def q_stream_arbitrage(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    a = stream_runs.run_arbitrage(spark, sf_dir, half_width_ms=TEST_HALF_WIDTH_MS)
+    return a.select("symbol", r6("binance_price").alias("binance_price"),
+                    r6("coinbase_price").alias("coinbase_price"), r6("spread").alias("spread"),
+                    r6("spread_pct").alias("spread_pct"), "direction", ms("event_time").alias("event_time"),
+                    "version")
+
+
+def q_stream_double_bottom(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    d = stream_runs.run_double_bottom(spark, sf_dir, within_ms=TEST_WITHIN_MS)
+    return d.select("symbol", r6("first_dip").alias("first_dip"), r6("second_dip").alias("second_dip"),
+                    r6("peak_price").alias("peak_price"), r6("breakout_price").alias("breakout_price"),
+                    ms("confirmed_at").alias("confirmed_at"), "version")
+
+
+def q_stream_lake_a(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    la, _ = stream_runs.run_lake(spark, sf_dir)
+    return la.select("symbol", r6("price").alias("price"), r6("quantity").alias("quantity"),
+                     "trade_time", "is_buyer_maker", "ingestion_time")
+
+
+def q_stream_lake_b(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    _, lb = stream_runs.run_lake(spark, sf_dir)
+    return lb.select("trade_id", "product_id", r6("price").alias("price"), r6("size").alias("size"),
+                     "side", "event_time", "ingestion_time")
+
+
+def q_stream_ingest_a(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    t, _ = stream_runs.run_ingest(spark, sf_dir, "a")
+    return t.select("event_type", "event_time", "symbol", "trade_id", r6(F.col("price").cast("double")).alias("price"),
+                    r6(F.col("quantity").cast("double")).alias("quantity"), "trade_time", "is_buyer_maker",
+                    "ingestion_time")
+
+
+def q_stream_dead_letter_b(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    _, d = stream_runs.run_ingest(spark, sf_dir, "b")
+    return d
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_vwap": q_stream_vwap,
+    "stream_whales": q_stream_whales,
+    "stream_arbitrage": q_stream_arbitrage,
+    "stream_double_bottom": q_stream_double_bottom,
+    "stream_lake_a": q_stream_lake_a,
+    "stream_lake_b": q_stream_lake_b,
+    "stream_ingest_a": q_stream_ingest_a,
+    "stream_dead_letter_b": q_stream_dead_letter_b,
     "parse_feed_a": q_parse_feed_a,
     "parse_feed_b": q_parse_feed_b,
     "dead_letter_rows": q_dead_letter_rows,
