@@ -29,7 +29,9 @@ from tidemark import config as C
 from tidemark.functions.columns import normalise_symbol
 
 _MAP = "map<string,string>"
-_B_SCHEMA = "struct<channel:string,events:array<struct<type:string,trades:array<map<string,string>>>>>"
+_B_SCHEMA = ("struct<channel:string,events:array<struct<type:string,trades:array<map<string,string>>>>,"
+             "_corrupt:string>")
+_B_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 ERR_JSON = "malformed_json"
 ERR_PRICE = "invalid_price"
@@ -97,9 +99,10 @@ def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A) -> tuple[DataFrame,
 
 def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B) -> tuple[DataFrame, DataFrame]:
     """Venue B messages -> (``trades_b`` rows, dead letters)."""
-    df = raw.select("value", "received_at", F.from_json(F.col("value"), _B_SCHEMA).alias("_m"))
-    broken = df.where(F.col("_m").isNull()).withColumn("error", F.lit(ERR_JSON))
-    ok = df.where(F.col("_m.channel") == C.FEED_B_CHANNEL)
+    df = raw.select("value", "received_at", F.from_json(F.col("value"), _B_SCHEMA, _B_OPTIONS).alias("_m"))
+    is_broken = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
+    broken = df.where(is_broken).withColumn("error", F.lit(ERR_JSON))
+    ok = df.where(~is_broken & (F.col("_m.channel") == C.FEED_B_CHANNEL))
     ev = (ok.select("value", "received_at", F.explode_outer("_m.events").alias("_e"))
             .where(F.col("_e.type").isin(*C.FEED_B_EVENT_TYPES))
             .select("value", "received_at", F.explode("_e.trades").alias("_t")))
