@@ -39,6 +39,15 @@ ERR_QTY = "invalid_quantity"
 ERR_TIME = "invalid_time"
 
 
+def _once(df: DataFrame, expr: Column, name: str) -> DataFrame:
+    """Add ``expr`` as column ``name``, evaluated once per row.
+
+    A parsed JSON value is referenced by many filters and checks; as a plain
+    alias the optimizer would inline (and re-parse) it at each reference. As
+    the output of a generator it is computed once and then only read."""
+    return df.select("*", F.inline(F.array(F.struct(expr.alias(name)))))
+
+
 def _missing(m: Column, name: str) -> Column:
     return ~F.map_contains_key(m, F.lit(name)) | m[name].isNull()
 
@@ -64,10 +73,9 @@ def _dead(df: DataFrame, topic: str, key: Column) -> DataFrame:
 
 def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A) -> tuple[DataFrame, DataFrame]:
     """Venue A messages -> (``trades_a`` rows, dead letters)."""
-    top = F.from_json(F.col("value"), _MAP)
-    df = raw.select("value", "received_at", top.alias("_top"))
+    df = _once(raw.select("value", "received_at"), F.from_json(F.col("value"), _MAP), "_top")
     body = F.when(F.map_contains_key(F.col("_top"), F.lit("data")), F.col("_top")["data"]).otherwise(F.col("value"))
-    df = df.withColumn("_d", F.when(F.col("_top").isNotNull(), F.from_json(body, _MAP)))
+    df = _once(df, F.when(F.col("_top").isNotNull(), F.from_json(body, _MAP)), "_d")
     d = F.col("_d")
     keep = (F.col("_top").isNull() | d.isNull()
             | ((d["e"] == C.FEED_A_EVENT)
@@ -99,7 +107,7 @@ def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A) -> tuple[DataFrame,
 
 def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B) -> tuple[DataFrame, DataFrame]:
     """Venue B messages -> (``trades_b`` rows, dead letters)."""
-    df = raw.select("value", "received_at", F.from_json(F.col("value"), _B_SCHEMA, _B_OPTIONS).alias("_m"))
+    df = _once(raw.select("value", "received_at"), F.from_json(F.col("value"), _B_SCHEMA, _B_OPTIONS), "_m")
     is_broken = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
     broken = df.where(is_broken).withColumn("error", F.lit(ERR_JSON))
     ok = df.where(~is_broken & (F.col("_m.channel") == C.FEED_B_CHANNEL))

@@ -27,9 +27,13 @@ def stage_chunks(df: DataFrame, time_col: str, path: str, chunk_ms: int = CHUNK_
     stream with one file per trigger sees event time advance batch by batch.
     Only the chunk ids (a few integers) reach the driver."""
     c = F.floor(F.col(time_col) / chunk_ms)
-    ids = sorted(r[0] for r in df.select(c.alias("c")).distinct().collect())
-    for i in ids:
-        df.where(c == i).coalesce(1).write.mode("append").parquet(path)
+    df = df.persist()
+    try:
+        ids = sorted(r[0] for r in df.select(c.alias("c")).distinct().collect())
+        for i in ids:
+            df.where(c == i).coalesce(1).write.mode("append").parquet(path)
+    finally:
+        df.unpersist()
     return path
 
 
