@@ -1,0 +1,43 @@
+import os
+from datetime import datetime
+
+from conftest import ms
+from rows import trades_a
+
+from tidemark.plans.reconciliation import last_completed_hour, run_hourly_reconciliation
+from tidemark.sources import feeds
+from tidemark.streaming import jobs
+
+
+def test_last_completed_hour():
+    assert last_completed_hour(datetime(2024, 1, 1, 17, 35)) == (datetime(2024, 1, 1, 16), datetime(2024, 1, 1, 17))
+
+
+def test_run_over_lake_and_streamed_results(spark, tmp_dir):
+    t = ms("2024-01-01 16:00:00")
+    rows = [("BTCUSDT", t + 60_000, 1, 100, 1), ("BTCUSDT", t + 400_000, 2, 110, 3),
+            ("ETHUSDT", t + 60_000, 3, 10, 1), ("BTCUSDT", t + 3_700_000, 4, 1, 1)]
+    src = os.path.join(tmp_dir, "in")
+    trades_a(spark, rows).write.parquet(src)
+    lake = os.path.join(tmp_dir, "lake")
+    sa = feeds.read_trades_a(spark, src, stream=True)
+    # lake: venue A only
+    from tidemark.sources.lake import raw_a_projection
+    from tidemark.streaming.sinks import lake_writer
+    q = lake_writer(raw_a_projection(sa), lake, os.path.join(tmp_dir, "ck_lake"), time_col="trade_time",
+                    trigger={"availableNow": True})
+    q.awaitTermination()
+    q = jobs.vwap_job(feeds.read_trades_a(spark, src, stream=True), os.path.join(tmp_dir, "vwap"),
+                      checkpoint=os.path.join(tmp_dir, "ck_vwap"), trigger={"availableNow": True})
+    q.awaitTermination()
+    out = os.path.join(tmp_dir, "recon")
+    res, miss = run_hourly_reconciliation(spark, lake_raw_a=lake, vwap_results=os.path.join(tmp_dir, "vwap"),
+                                          out_path=out, now=datetime(2024, 1, 1, 17, 35))
+    got = {r.symbol: (r.batch_vwap, r.streaming_vwap, r.status) for r in res.collect()}
+    # batch: (100*1 + 110*3) / 4 = 107.5; stream: mean of window VWAPs 100 and 110 = 105 -> ALERT
+    assert got == {"BTCUSDT": (107.5, 105.0, "ALERT"), "ETHUSDT": (10.0, 10.0, "OK")}
+    assert miss.count() == 0
+    # the same run again replaces its rows
+    run_hourly_reconciliation(spark, lake_raw_a=lake, vwap_results=os.path.join(tmp_dir, "vwap"),
+                              out_path=out, now=datetime(2024, 1, 1, 17, 35))
+    assert spark.read.parquet(out).count() == 2
