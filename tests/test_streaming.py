@@ -111,3 +111,26 @@ def test_double_bottom_stream_out_of_order_equals_batch(spark, tmp_dir):
                  for r in double_bottom(trades_a(spark, rows), within_ms=60_000).collect()
                  if r.confirmed_at_ms < last)
     assert got == exp and len(exp) > 0
+
+
+def test_double_bottom_stream_next_row_equals_batch(spark, tmp_dir):
+    import random
+    rnd = random.Random(11)
+    p, rows = 100, []
+    for i in range(90):
+        p += rnd.choice([-2, -1, 1, 2])
+        rows.append(("X", T0 + i * 3000, i, p, 1))
+    src = os.path.join(tmp_dir, "in")
+    for lo in range(0, 270_000, 30_000):
+        _append(trades_a(spark, [r for r in rows if lo <= r[1] - T0 < lo + 30_000]), src)
+    s = feeds.read_trades_a(spark, src, stream=True, max_files_per_trigger=1)
+    q = jobs.double_bottom_job(s, os.path.join(tmp_dir, "out"), checkpoint=os.path.join(tmp_dir, "ck"),
+                               within_ms=45_000, after_match="next_row", watermark="0 seconds", trigger=ONCE)
+    q.awaitTermination()
+    got = sorted((r.first_dip, r.second_dip, r.breakout_price, int(r.confirmed_at.timestamp()))
+                 for r in spark.read.parquet(os.path.join(tmp_dir, "out")).collect())
+    last = max(r[1] for r in rows)
+    exp = sorted((r.first_dip, r.second_dip, r.breakout_price, r.confirmed_at_ms // 1000)
+                 for r in double_bottom(trades_a(spark, rows), within_ms=45_000, after_match="next_row").collect()
+                 if r.confirmed_at_ms < last)
+    assert got == exp and len(exp) > 0

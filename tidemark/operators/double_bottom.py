@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.functions.columns import as_double, version_of
-from tidemark.session import materialize
+from tidemark.session import delete_path, materialize, scratch_path
 
 DEFAULT_BUCKET_MS = 3_600_000
 
@@ -183,28 +183,44 @@ def _past_last_row(c: DataFrame, bucket_ms: int) -> DataFrame:
 def double_bottom(trades: DataFrame, *, within_ms: int = C.PATTERN_WITHIN_MS,
                   after_match: str = "past_last_row", bucket_ms: int = DEFAULT_BUCKET_MS,
                   time_col: str = "trade_time", price_col: str = "price",
-                  id_col: str = "trade_id", symbol_col: str = "symbol") -> DataFrame:
+                  id_col: str = "trade_id", symbol_col: str = "symbol",
+                  cleanup: bool = True) -> DataFrame:
     """Batch double-bottom matches. Output: symbol, first_dip, second_dip,
-    peak_price, breakout_price, confirmed_at (timestamp), confirmed_at_ms."""
+    peak_price, breakout_price, confirmed_at (timestamp), confirmed_at_ms.
+
+    Runs its stages eagerly (writes under ``spark.checkpoint.dir``) and
+    returns a DataFrame over the written matches."""
     if after_match not in ("past_last_row", "next_row"):
         raise ValueError(f"after_match must be past_last_row or next_row, not {after_match!r}")
     rows = _rows(trades, time_col, price_col, id_col, symbol_col, bucket_ms)
     # Each stage below feeds several later branches; it is written once to the
-    # shared folder instead of being recomputed per branch.
-    nb = materialize(_with_neighbours(rows), "double-bottom-rows")
-    rr = materialize(_with_run_key(nb), "double-bottom-run-rows")
-    runs = materialize(_runs(rr), "double-bottom-runs")
-    c = materialize(_candidates(runs, within_ms), "double-bottom-candidates")
+    # shared folder instead of being recomputed per branch. The matches (small)
+    # are written last, then the intermediate tables are removed.
+    spark = trades.sparkSession
+    paths: list[str] = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        return materialize(df, name, path=paths[-1])
+
+    nb = stage(_with_neighbours(rows), "double-bottom-rows")
+    rr = stage(_with_run_key(nb), "double-bottom-run-rows")
+    runs = stage(_runs(rr), "double-bottom-runs")
+    c = stage(_candidates(runs, within_ms), "double-bottom-candidates")
     if after_match == "next_row":
         m = (c.join(_first_dip_rows(rr), ["symbol", "f_ts", "f_tid"])
               .where(F.col("b_ts") - F.col("st_ts") < within_ms)
               .withColumn("first_dip", F.col("st_price")))
     else:
-        st = materialize(_starts_first(c, rr, within_ms), "double-bottom-starts")
+        st = stage(_starts_first(c, rr, within_ms), "double-bottom-starts")
         m = _past_last_row(st, bucket_ms)
-    return m.select("symbol", "first_dip", "second_dip", "peak_price", "breakout_price",
-                    F.timestamp_millis("b_ts").alias("confirmed_at"),
-                    F.col("b_ts").alias("confirmed_at_ms"))
+    out = materialize(m.select("symbol", "first_dip", "second_dip", "peak_price", "breakout_price",
+                               F.timestamp_millis("b_ts").alias("confirmed_at"),
+                               F.col("b_ts").alias("confirmed_at_ms")), "double-bottom-matches")
+    if cleanup:
+        for p in paths:
+            delete_path(spark, p)
+    return out
 
 
 def double_bottom_rows(matches: DataFrame) -> DataFrame:

@@ -37,12 +37,15 @@ def stage_chunks(df: DataFrame, time_col: str, path: str, chunk_ms: int = CHUNK_
     return path
 
 
-def _staged(spark: SparkSession, sf_dir: str, root: str):
+def _staged(spark: SparkSession, sf_dir: str, root: str, venues: str = "ab"):
     f = testfeeds.load(spark, sf_dir)
-    pa = stage_chunks(f["trades_a"], "trade_time", os.path.join(root, "in_a"))
-    pb = stage_chunks(f["trades_b"], "event_time", os.path.join(root, "in_b"))
-    sa = feeds.read_trades_a(spark, pa, stream=True, max_files_per_trigger=1)
-    sb = feeds.read_trades_b(spark, pb, stream=True, max_files_per_trigger=1)
+    sa = sb = None
+    if "a" in venues:
+        pa = stage_chunks(f["trades_a"], "trade_time", os.path.join(root, "in_a"))
+        sa = feeds.read_trades_a(spark, pa, stream=True, max_files_per_trigger=1)
+    if "b" in venues:
+        pb = stage_chunks(f["trades_b"], "event_time", os.path.join(root, "in_b"))
+        sb = feeds.read_trades_b(spark, pb, stream=True, max_files_per_trigger=1)
     return sa, sb
 
 
@@ -52,7 +55,7 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 def run_vwap(spark: SparkSession, sf_dir: str, *, window: str, label: str) -> DataFrame:
     root = scratch_path(spark, "stream-vwap")
-    sa, _ = _staged(spark, sf_dir, root)
+    sa, _ = _staged(spark, sf_dir, root, "a")
     q = jobs.vwap_job(sa, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                       window=window, interval_label=label, trigger=RUN_ONCE)
     q.awaitTermination()
@@ -80,7 +83,7 @@ def run_arbitrage(spark: SparkSession, sf_dir: str, *, half_width_ms: int) -> Da
 def run_double_bottom(spark: SparkSession, sf_dir: str, *, within_ms: int,
                       after_match: str = "past_last_row") -> DataFrame:
     root = scratch_path(spark, "stream-double-bottom")
-    sa, _ = _staged(spark, sf_dir, root)
+    sa, _ = _staged(spark, sf_dir, root, "a")
     q = jobs.double_bottom_job(sa, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                                within_ms=within_ms, after_match=after_match, trigger=RUN_ONCE)
     q.awaitTermination()

@@ -62,6 +62,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder written by ``materialize`` (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df, name: str, path: str | None = None):
     """Write ``df`` as Parquet under the shared folder and read it back.
 
