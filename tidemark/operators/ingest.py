@@ -71,7 +71,13 @@ def _dead(df: DataFrame, topic: str, key: Column) -> DataFrame:
         F.col("received_at").alias("failed_at"))
 
 
-def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A) -> tuple[DataFrame, DataFrame]:
+def _stamp(stamp_now: bool) -> Column:
+    """Ingestion time = the source's arrival time, or processing time."""
+    return F.unix_millis(F.current_timestamp()) if stamp_now else F.col("received_at")
+
+
+def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A,
+                 stamp_now: bool = False) -> tuple[DataFrame, DataFrame]:
     """Venue A messages -> (``trades_a`` rows, dead letters)."""
     df = _once(raw.select("value", "received_at"), F.from_json(F.col("value"), _MAP), "_top")
     body = F.when(F.map_contains_key(F.col("_top"), F.lit("data")), F.col("_top")["data"]).otherwise(F.col("value"))
@@ -91,7 +97,7 @@ def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A) -> tuple[DataFrame,
         F.expr(f"try_cast(_d['q'] AS {C.PRICE_DECIMAL})").alias("quantity"),
         F.expr("try_cast(_d['T'] AS BIGINT)").alias("trade_time"),
         F.expr("try_cast(_d['m'] AS BOOLEAN)").alias("is_buyer_maker"),
-        F.col("received_at").alias("ingestion_time"))
+        _stamp(stamp_now).alias("ingestion_time"))
     checks = [(F.col("_top").isNull() | d.isNull(), ERR_JSON)]
     for f, col in (("E", "event_time"), ("s", "symbol"), ("t", "trade_id"), ("T", "trade_time"),
                    ("m", "is_buyer_maker")):
@@ -105,7 +111,8 @@ def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A) -> tuple[DataFrame,
     return trades, dead
 
 
-def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B) -> tuple[DataFrame, DataFrame]:
+def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B,
+                 stamp_now: bool = False) -> tuple[DataFrame, DataFrame]:
     """Venue B messages -> (``trades_b`` rows, dead letters)."""
     df = _once(raw.select("value", "received_at"), F.from_json(F.col("value"), _B_SCHEMA, _B_OPTIONS), "_m")
     is_broken = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
@@ -124,7 +131,7 @@ def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B) -> tuple[DataFrame,
         F.expr(f"try_cast(_t['size'] AS {C.PRICE_DECIMAL})").alias("size"),
         t["side"].alias("side"),
         F.unix_millis(ts).alias("event_time"),
-        F.col("received_at").alias("ingestion_time"))
+        _stamp(stamp_now).alias("ingestion_time"))
     checks = [(t.isNull(), ERR_JSON)]
     for f in ("trade_id", "product_id", "side"):
         checks.append((_missing(t, f), f"missing_field:{f}"))

@@ -39,16 +39,25 @@ def _compare(joined: DataFrame, tolerance_pct: float) -> DataFrame:
                    .otherwise(F.lit(C.STATUS_OK)))
 
 
+def _both_sides_present(j: DataFrame, key: str) -> DataFrame:
+    """Q2: keep only ranges (``key``) with rows on both sides. ``j`` is the
+    joined per-symbol aggregates, so a window group is one range's symbols;
+    the inputs are read once (no second branch over them)."""
+    w = Window.partitionBy(key)
+    return (j.withColumn("_b", F.max(F.col("batch_vwap").isNotNull().cast("int")).over(w))
+             .withColumn("_s", F.max(F.col("streaming_vwap").isNotNull().cast("int")).over(w))
+             .where((F.col("_b") == 1) & (F.col("_s") == 1))
+             .drop("_b", "_s"))
+
+
 def reconcile(batch: DataFrame, stream: DataFrame, *, run_time, window_start, window_end,
               tolerance_pct: float = C.RECON_DIFF_PCT) -> tuple[DataFrame, DataFrame]:
     """One range. ``batch``: (symbol, batch_vwap); ``stream``: (symbol, streaming_vwap).
     Returns ``(results, missing)``."""
-    j = batch.join(stream, "symbol", "full_outer")
-    # Q2: nothing is reported when either side is empty for the range.
-    w = Window.partitionBy(F.lit(1))
-    j = j.withColumn("_b", F.max(F.col("batch_vwap").isNotNull().cast("int")).over(w)) \
-         .withColumn("_s", F.max(F.col("streaming_vwap").isNotNull().cast("int")).over(w)) \
-         .where((F.col("_b") == 1) & (F.col("_s") == 1))
+    key = F.lit(window_start).cast("timestamp").alias("_range")
+    b = batch.select(key, "symbol", "batch_vwap")
+    s = stream.select(key, "symbol", "streaming_vwap")
+    j = _both_sides_present(b.join(s, ["_range", "symbol"], "full_outer"), "_range")
     j = _compare(j, tolerance_pct)
     rt = F.lit(run_time).cast("timestamp")
     ok = F.col("diff_pct").isNotNull()
@@ -85,11 +94,7 @@ def reconcile_hourly(raw_a: DataFrame, vwap_rows: DataFrame, *, run_time,
     s = (vwap_rows.where(we_ms <= h0 + hour_ms)
                   .groupBy("symbol", h0.alias("hour_start_ms"))
                   .agg(_stream_mean(weighted).alias("streaming_vwap")))
-    j = b.join(s, ["symbol", "hour_start_ms"], "full_outer")
-    w = Window.partitionBy("hour_start_ms")
-    j = (j.withColumn("_b", F.max(F.col("batch_vwap").isNotNull().cast("int")).over(w))
-          .withColumn("_s", F.max(F.col("streaming_vwap").isNotNull().cast("int")).over(w))
-          .where((F.col("_b") == 1) & (F.col("_s") == 1)))
+    j = _both_sides_present(b.join(s, ["symbol", "hour_start_ms"], "full_outer"), "hour_start_ms")
     j = _compare(j, tolerance_pct)
     rt = F.lit(run_time).cast("timestamp")
     ok = F.col("diff_pct").isNotNull()

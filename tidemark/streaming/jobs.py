@@ -66,10 +66,17 @@ def whale_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
 def arbitrage_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
                   checkpoint: str | None = None, half_width_ms: int = C.JOIN_HALF_WIDTH_MS,
                   min_spread_pct: float = C.SPREAD_PCT_MIN, watermark: str = C.WATERMARK_DELAY,
-                  trigger: dict | None = None) -> StreamingQuery:
+                  watermark_policy: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Watermarked interval join of the two venues and the spread filter.
     Join state is kept per (symbol, time bucket) and dropped once the
-    watermark is more than the half width past it."""
+    watermark is more than the half width past it.
+
+    ``watermark_policy`` (R3): with two inputs Spark keeps one watermark,
+    the slower input's (``"min"``, default) or the faster's (``"max"``: an
+    idle venue does not hold results back, its late rows are dropped). It is
+    fixed in the checkpoint at the first start."""
+    if watermark_policy:
+        trades_a.sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", watermark_policy)
     rows = arbitrage_rows(arbitrage_signals(trades_a, trades_b, half_width_ms=half_width_ms,
                                             min_spread_pct=min_spread_pct, watermark=watermark))
     return _start(rows, result_table_writer(out_path, schemas.ARBITRAGE_SIGNALS),
