@@ -11,8 +11,9 @@ checkpoint holds source offsets, the commit log and operator state
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import config as C
@@ -29,18 +30,53 @@ from tidemark.streaming.sinks import lake_writer, multi_writer, result_table_wri
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_conf(spark: SparkSession, state_partitions: int | None = None) -> dict[str, str]:
+    """Settings a stateful query fixes in its checkpoint at the first start:
+    the number of state partitions (default: the cluster's parallelism, not
+    the batch shuffle setting) and the RocksDB state store with changelog
+    checkpointing."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
+@contextmanager
+def _session_conf(spark: SparkSession, conf: dict[str, str]):
+    """Apply ``conf`` while a query starts. The query runs on a copy of the
+    session taken at start, so the caller's settings are restored after."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
 
 def _ckpt(df: DataFrame, checkpoint: str | None, name: str) -> str:
     return checkpoint or os.path.join(shared_dir(df.sparkSession), "streams", name)
 
 
-def _start(rows: DataFrame, writer, checkpoint: str, name: str, trigger: dict | None) -> StreamingQuery:
-    return (rows.writeStream.foreachBatch(writer)
-                .outputMode("append")
-                .option("checkpointLocation", checkpoint)
-                .queryName(name)
-                .trigger(**(trigger or DEFAULT_TRIGGER))
-                .start())
+def _start(rows: DataFrame, writer, checkpoint: str, name: str, trigger: dict | None,
+           state_partitions: int | None = None) -> StreamingQuery:
+    spark = rows.sparkSession
+    with _session_conf(spark, stream_conf(spark, state_partitions)):
+        return (rows.writeStream.foreachBatch(writer)
+                    .outputMode("append")
+                    .option("checkpointLocation", checkpoint)
+                    .queryName(name)
+                    .trigger(**(trigger or DEFAULT_TRIGGER))
+                    .start())
 
 
 def vwap_job(trades_a: DataFrame, out_path: str, *, checkpoint: str | None = None,
