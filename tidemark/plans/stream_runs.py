@@ -1,7 +1,7 @@
 """Run the streaming jobs over feeds derived from the given tables.
 
-The derived trades are staged as time-ordered Parquet files under the shared
-folder (one file per time chunk, written oldest first), then each job reads
+The derived trades are staged once as time-ordered Parquet files under the
+shared folder (one file per time chunk, written oldest first), then each job reads
 them as a file stream, one file per micro-batch, runs to completion
 (``availableNow``) and its sink is read back. Streaming results equal the
 batch results minus what the final watermark has not closed yet.
@@ -14,7 +14,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+import hashlib
+
+from tidemark.session import path_exists, scratch_path, shared_dir
 from tidemark.sources import feeds, testfeeds
 from tidemark.streaming import jobs
 
@@ -37,15 +39,38 @@ def stage_chunks(df: DataFrame, time_col: str, path: str, chunk_ms: int = CHUNK_
     return path
 
 
-def _staged(spark: SparkSession, sf_dir: str, root: str, venues: str = "ab"):
+def staged_input(spark: SparkSession, sf_dir: str, feed: str) -> str:
+    """The staged copy of one derived feed (``trades_a``, ``trades_b``,
+    ``raw_a``, ``raw_b``), written once per input folder and derivation
+    version and reused by later runs. The marker (a one-line table naming the
+    data folder) is written last, so a half-written copy is never used."""
+    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{testfeeds.DERIVATION_VERSION}".encode()).hexdigest()[:12]
+    marker = os.path.join(shared_dir(spark), "staged-feeds", key, feed + ".complete")
+    if path_exists(spark, os.path.join(marker, "_SUCCESS")):
+        return spark.read.text(marker).first()[0]
     f = testfeeds.load(spark, sf_dir)
+    if feed == "trades_a":
+        df, col = f["trades_a"], "trade_time"
+    elif feed == "trades_b":
+        df, col = f["trades_b"], "event_time"
+    elif feed in ("raw_a", "raw_b"):
+        df = testfeeds.raw_feed_a(f["events"]) if feed == "raw_a" else testfeeds.raw_feed_b(f["events"])
+        col = "received_at"
+    else:
+        raise ValueError(f"unknown feed {feed!r}")
+    path = stage_chunks(df, col, scratch_path(spark, os.path.join("staged-feeds", key, feed)))
+    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(marker)
+    return path
+
+
+def _staged(spark: SparkSession, sf_dir: str, root: str, venues: str = "ab"):
     sa = sb = None
     if "a" in venues:
-        pa = stage_chunks(f["trades_a"], "trade_time", os.path.join(root, "in_a"))
-        sa = feeds.read_trades_a(spark, pa, stream=True, max_files_per_trigger=1)
+        sa = feeds.read_trades_a(spark, staged_input(spark, sf_dir, "trades_a"), stream=True,
+                                 max_files_per_trigger=1)
     if "b" in venues:
-        pb = stage_chunks(f["trades_b"], "event_time", os.path.join(root, "in_b"))
-        sb = feeds.read_trades_b(spark, pb, stream=True, max_files_per_trigger=1)
+        sb = feeds.read_trades_b(spark, staged_input(spark, sf_dir, "trades_b"), stream=True,
+                                 max_files_per_trigger=1)
     return sa, sb
 
 
@@ -103,10 +128,8 @@ def run_lake(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def run_ingest(spark: SparkSession, sf_dir: str, venue: str) -> tuple[DataFrame, DataFrame]:
     root = scratch_path(spark, f"stream-ingest-{venue}")
-    ev = testfeeds.load(spark, sf_dir)["events"]
-    raw = testfeeds.raw_feed_a(ev) if venue == "a" else testfeeds.raw_feed_b(ev)
-    path = stage_chunks(raw, "received_at", os.path.join(root, "in"))
-    src = feeds.read_raw(spark, path, stream=True, max_files_per_trigger=1)
+    src = feeds.read_raw(spark, staged_input(spark, sf_dir, f"raw_{venue}"), stream=True,
+                         max_files_per_trigger=1)
     q = jobs.ingest_job(src, venue, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                         trigger=RUN_ONCE)
     q.awaitTermination()

@@ -62,11 +62,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder written by ``materialize`` (any Hadoop file system)."""
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder written by ``materialize`` (any Hadoop file system)."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
 
 
 def materialize(df, name: str, path: str | None = None):

@@ -23,6 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# bump when the derivation below changes (staged copies are keyed by it)
+DERIVATION_VERSION = "1"
+
 VENUE_A_TYPES = ("click", "purchase")
 VENUE_B_TYPES = ("view", "signup")
 SYMBOLS = ("BTCUSDT", "ETHUSDT", "SOLUSDT")
