@@ -200,6 +200,10 @@ FROM pairs WHERE a_price <> 0 AND ABS(a_price - b_price) / a_price * 100 > 0.2""
 SELECT {DB_COLS}, b_ts // 1000 * 1000 AS confirmed_at, CAST(b_ts // 1000 AS BIGINT) AS version
 FROM c3 WHERE (idx - sidx) % 2 = 0 AND b_ts < (SELECT MAX(trade_time) FROM ta) - 10000"""),
 
+    "stream_double_bottom_next_row": _with(", " + _pattern(43_200_000).strip() + f"""
+SELECT {DB_COLS}, b_ts // 1000 * 1000 AS confirmed_at, CAST(b_ts // 1000 AS BIGINT) AS version
+FROM starts WHERE b_ts < (SELECT MAX(trade_time) FROM ta) - 10000"""),
+
     "stream_lake_a": _with("""
 SELECT symbol, ROUND(price, 6) AS price, ROUND(quantity, 6) AS quantity, trade_time, is_buyer_maker,
        ingestion_time FROM raw_a"""),

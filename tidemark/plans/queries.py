@@ -271,6 +271,14 @@ def q_stream_double_bottom(spark, sf_dir) -> DataFrame:
                     ms("confirmed_at").alias("confirmed_at"), "version")
 
 
+def q_stream_double_bottom_next_row(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    d = stream_runs.run_double_bottom(spark, sf_dir, within_ms=TEST_WITHIN_MS, after_match="next_row")
+    return d.select("symbol", r6("first_dip").alias("first_dip"), r6("second_dip").alias("second_dip"),
+                    r6("peak_price").alias("peak_price"), r6("breakout_price").alias("breakout_price"),
+                    ms("confirmed_at").alias("confirmed_at"), "version")
+
+
 def q_stream_lake_a(spark, sf_dir) -> DataFrame:
     from tidemark.plans import stream_runs
     la, _ = stream_runs.run_lake(spark, sf_dir)
@@ -304,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_whales": q_stream_whales,
     "stream_arbitrage": q_stream_arbitrage,
     "stream_double_bottom": q_stream_double_bottom,
+    "stream_double_bottom_next_row": q_stream_double_bottom_next_row,
     "stream_lake_a": q_stream_lake_a,
     "stream_lake_b": q_stream_lake_b,
     "stream_ingest_a": q_stream_ingest_a,
