@@ -21,13 +21,16 @@ Distributed formulation (no task ever holds a whole symbol):
    a bucket give each row its neighbours; a bucket's first/last row takes
    them from a per-bucket summary (one row per bucket) shifted by one bucket.
    ``d = sign(price - previous price)`` (0 for the first row).
-2. A row ends a *run* when the next row's ``d`` differs. Every row gets the
-   key of the first run end at or after it (a reverse running minimum inside
-   the bucket, else the first end of a later bucket from a second summary).
-3. Runs are aggregated by that key (combined map-side): direction, first
-   row, last price, and the row after the run. The next run is the one whose
-   first row is that row, so the sequence falling -> rising -> falling ->
-   break row is found with two equi-joins on high-cardinality run keys.
+2. A row ends a *run* when the next row's ``d`` differs. In the same window
+   pass every row gets the first run end at or after it inside its bucket (a
+   reverse running minimum); a bucket's trailing rows have none yet.
+3. Rows are aggregated into segments by that key (combined map-side); a
+   bucket's trailing segment takes the first run end of a later bucket (one
+   row per bucket), and segments are merged into runs: direction, first row,
+   last price, and the row after the run. Only one row-level table is
+   written. The next run is the one whose first row is that row, so the
+   sequence falling -> rising -> falling -> break row is found with two
+   equi-joins on high-cardinality run keys.
 4. The time limit picks the start row; only candidates whose whole first-dip
    run is too old need a join back to that run's rows.
 5. ``past_last_row``: an accepted match blocks exactly the candidate whose
@@ -65,7 +68,10 @@ def _rows(trades: DataFrame, time_col: str, price_col: str, id_col: str,
 
 
 def _with_neighbours(rows: DataFrame) -> DataFrame:
-    """Add ``d`` (direction from the previous row) and ``nxt`` (next row)."""
+    """Add ``d`` (direction from the previous row), ``nxt`` (next row) and
+    the bucket-local run key ``lkey``: the first run end at or after the row
+    inside its bucket (null for the bucket's trailing rows, whose run ends in
+    a later bucket)."""
     key = F.struct("ts", "tid")
     summ = rows.groupBy("symbol", "bucket").agg(
         F.max_by("price", key).alias("last_price"),
@@ -84,31 +90,49 @@ def _with_neighbours(rows: DataFrame) -> DataFrame:
                  F.coalesce(F.signum(F.col("price") - prev), F.lit(0.0)).cast("int").alias("d"),
                  nxt.alias("nxt"))
     d_next = F.coalesce(F.signum(F.col("nxt.price") - F.col("price")), F.lit(0.0)).cast("int")
-    return r.withColumn("is_end", F.col("nxt").isNull() | (d_next != F.col("d")))
+    is_end = F.col("nxt").isNull() | (d_next != F.col("d"))
+    ahead = wl.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    r = r.withColumn("_lkey", F.min(F.when(is_end, F.struct("ts", "tid"))).over(ahead))
+    return r.select("symbol", "bucket", "ts", "tid", "price", "d", "nxt",
+                    F.col("_lkey.ts").alias("lkey_ts"), F.col("_lkey.tid").alias("lkey_tid"))
 
 
-def _with_run_key(r: DataFrame) -> DataFrame:
-    """Add ``run_ts``/``run_tid``: the key of the row that ends the row's run."""
-    end_key = F.when(F.col("is_end"), F.struct("ts", "tid"))
-    summ = r.groupBy("symbol", "bucket").agg(F.min(end_key).alias("first_end"))
-    wb = Window.partitionBy("symbol").orderBy("bucket")
-    summ = summ.select("symbol", "bucket", F.first("first_end", ignorenulls=True).over(
-        wb.rowsBetween(1, Window.unboundedFollowing)).alias("later_end"))
-    wl = (Window.partitionBy("symbol", "bucket").orderBy("ts", "tid")
-          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    out = r.join(summ, ["symbol", "bucket"])
-    run = F.coalesce(F.min(end_key).over(wl), F.col("later_end"))
-    out = out.withColumn("_run", run)
-    return out.select("symbol", "ts", "tid", "price", "d", "nxt",
-                      F.col("_run.ts").alias("run_ts"), F.col("_run.tid").alias("run_tid"))
-
-
-def _runs(rr: DataFrame) -> DataFrame:
+def _segments(nb: DataFrame) -> DataFrame:
+    """Rows grouped by bucket-local run key; a bucket's trailing rows (null
+    key) form one segment. Combined map-side."""
     key = F.struct("ts", "tid")
-    return rr.groupBy("symbol", "run_ts", "run_tid").agg(
+    return nb.groupBy("symbol", "bucket", "lkey_ts", "lkey_tid").agg(
         F.max("d").alias("d"),
         F.min_by(F.struct("ts", "tid", "price"), key).alias("first"),
-        F.max_by(F.struct("price", "nxt"), key).alias("last"))
+        F.max_by(F.struct("price", "nxt"), key).alias("last"),
+        F.max(key).alias("last_key"))
+
+
+def _tail_map(segs: DataFrame) -> DataFrame:
+    """Per bucket: the first run end in any later bucket, i.e. the run key of
+    the bucket's trailing rows (one row per non-empty bucket)."""
+    per_bucket = segs.groupBy("symbol", "bucket").agg(
+        F.min(F.when(F.col("lkey_ts").isNotNull(), F.struct(
+            F.col("lkey_ts").alias("ts"), F.col("lkey_tid").alias("tid")))).alias("first_end"))
+    wb = (Window.partitionBy("symbol").orderBy("bucket")
+          .rowsBetween(1, Window.unboundedFollowing))
+    return per_bucket.select("symbol", "bucket",
+                             F.first("first_end", ignorenulls=True).over(wb).alias("later_end"))
+
+
+def _runs(segs: DataFrame, tails: DataFrame) -> DataFrame:
+    """Segments merged into whole runs: a trailing segment joins the run that
+    ends in a later bucket."""
+    heads = segs.where(F.col("lkey_ts").isNotNull()).select(
+        "symbol", F.col("lkey_ts").alias("run_ts"), F.col("lkey_tid").alias("run_tid"),
+        "d", "first", "last", "last_key")
+    trailing = (segs.where(F.col("lkey_ts").isNull()).join(tails, ["symbol", "bucket"])
+                    .select("symbol", F.col("later_end.ts").alias("run_ts"),
+                            F.col("later_end.tid").alias("run_tid"), "d", "first", "last", "last_key"))
+    return heads.unionByName(trailing).groupBy("symbol", "run_ts", "run_tid").agg(
+        F.max("d").alias("d"),
+        F.min_by("first", F.struct(F.col("first.ts"), F.col("first.tid"))).alias("first"),
+        F.max_by("last", "last_key").alias("last"))
 
 
 def _candidates(runs: DataFrame, within_ms: int) -> DataFrame:
@@ -136,20 +160,25 @@ def _candidates(runs: DataFrame, within_ms: int) -> DataFrame:
                     "peak_price", "second_dip", "b_ts", "breakout_price")
 
 
-def _first_dip_rows(rr: DataFrame) -> DataFrame:
-    return rr.where(F.col("d") == -1).select(
-        "symbol", F.col("run_ts").alias("f_ts"), F.col("run_tid").alias("f_tid"),
+def _first_dip_rows(nb: DataFrame, tails: DataFrame) -> DataFrame:
+    """Falling rows with their run key (trailing rows take it from ``tails``,
+    one row per bucket)."""
+    r = nb.where(F.col("d") == -1).join(tails, ["symbol", "bucket"], "left")
+    return r.select(
+        "symbol",
+        F.coalesce(F.col("lkey_ts"), F.col("later_end.ts")).alias("f_ts"),
+        F.coalesce(F.col("lkey_tid"), F.col("later_end.tid")).alias("f_tid"),
         F.col("ts").alias("st_ts"), F.col("tid").alias("st_tid"), F.col("price").alias("st_price"))
 
 
-def _starts_first(c: DataFrame, rr: DataFrame, within_ms: int) -> DataFrame:
+def _starts_first(c: DataFrame, dips: DataFrame, within_ms: int) -> DataFrame:
     """Earliest eligible start per candidate."""
     whole = c.where(F.col("b_ts") - F.col("f_first_ts") < within_ms).withColumn(
         "first_dip", F.col("f_first_price"))
     trim = c.where(F.col("b_ts") - F.col("f_first_ts") >= within_ms)
     key = ["symbol", "f_ts", "f_tid"]
     rest = [x for x in c.columns if x not in key]
-    starts = (trim.join(_first_dip_rows(rr), key)
+    starts = (trim.join(dips, key)
                   .where(F.col("b_ts") - F.col("st_ts") < within_ms)
                   .groupBy(*key)
                   .agg(*[F.first(x).alias(x) for x in rest],
@@ -204,15 +233,17 @@ def double_bottom(trades: DataFrame, *, within_ms: int = C.PATTERN_WITHIN_MS,
         return materialize(df, name, path=paths[-1])
 
     nb = stage(_with_neighbours(rows), "double-bottom-rows")
-    rr = stage(_with_run_key(nb), "double-bottom-run-rows")
-    runs = stage(_runs(rr), "double-bottom-runs")
+    segs = stage(_segments(nb), "double-bottom-segments")
+    tails = _tail_map(segs)
+    runs = stage(_runs(segs, tails), "double-bottom-runs")
     c = stage(_candidates(runs, within_ms), "double-bottom-candidates")
+    dips = _first_dip_rows(nb, tails)
     if after_match == "next_row":
-        m = (c.join(_first_dip_rows(rr), ["symbol", "f_ts", "f_tid"])
+        m = (c.join(dips, ["symbol", "f_ts", "f_tid"])
               .where(F.col("b_ts") - F.col("st_ts") < within_ms)
               .withColumn("first_dip", F.col("st_price")))
     else:
-        st = stage(_starts_first(c, rr, within_ms), "double-bottom-starts")
+        st = stage(_starts_first(c, dips, within_ms), "double-bottom-starts")
         m = _past_last_row(st, bucket_ms)
     out = materialize(m.select("symbol", "first_dip", "second_dip", "peak_price", "breakout_price",
                                F.timestamp_millis("b_ts").alias("confirmed_at"),
