@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import hashlib
 
-from tidemark.session import path_exists, scratch_path, shared_dir
+from tidemark.session import path_exists, path_signature, scratch_path, shared_dir
 from tidemark.sources import feeds, testfeeds
 from tidemark.streaming import jobs
 
@@ -41,10 +41,12 @@ def stage_chunks(df: DataFrame, time_col: str, path: str, chunk_ms: int = CHUNK_
 
 def staged_input(spark: SparkSession, sf_dir: str, feed: str) -> str:
     """The staged copy of one derived feed (``trades_a``, ``trades_b``,
-    ``raw_a``, ``raw_b``), written once per input folder and derivation
-    version and reused by later runs. The marker (a one-line table naming the
+    ``raw_a``, ``raw_b``), written once per input (path, modification time,
+    length) and derivation version and reused by later runs. The marker (a one-line table naming the
     data folder) is written last, so a half-written copy is never used."""
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{testfeeds.DERIVATION_VERSION}".encode()).hexdigest()[:12]
+    src = f"{sf_dir}/events.parquet"
+    sig = f"{src}|{path_signature(spark, src)}|{testfeeds.DERIVATION_VERSION}"
+    key = hashlib.sha1(sig.encode()).hexdigest()[:12]
     marker = os.path.join(shared_dir(spark), "staged-feeds", key, feed + ".complete")
     if path_exists(spark, os.path.join(marker, "_SUCCESS")):
         return spark.read.text(marker).first()[0]

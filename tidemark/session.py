@@ -74,6 +74,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def path_signature(spark: SparkSession, path: str) -> str:
+    """Modification time and length of a file or folder (any Hadoop file
+    system), to key derived copies of an input."""
+    fs, p = _fs(spark, path)
+    st = fs.getFileStatus(p)
+    return f"{st.getModificationTime()}:{st.getLen()}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
