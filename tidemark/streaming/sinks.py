@@ -83,3 +83,20 @@ def lake_writer(df: DataFrame, path: str, checkpoint: str, *, time_col: str,
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"processingTime": "60 seconds"}))
     return w.start(path)
+
+
+def kafka_writer(df: DataFrame, bootstrap: str, topic: str, checkpoint: str, *,
+                 key_col: str | None = "symbol", trigger: dict | None = None,
+                 options: dict | None = None):
+    """Publish rows as JSON to a topic, keyed by ``key_col`` so the broker
+    partitions them by symbol (I15, I16). Needs the Kafka module on the
+    classpath (absent here, untested)."""
+    key = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
+    out = df.select(key.alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    w = (out.writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap)
+            .option("topic", topic)
+            .option("checkpointLocation", checkpoint))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
