@@ -242,6 +242,16 @@ FROM lat GROUP BY 1, 2"""),
     "double_bottom": _with(", " + _pattern(43_200_000).strip() + f"""
 SELECT {DB_COLS}, b_ts AS confirmed_at FROM c3 WHERE (idx - sidx) % 2 = 0"""),
 
+    "double_bottom_default": _with(", " + _pattern(600_000).strip() + f"""
+SELECT {DB_COLS}, b_ts AS confirmed_at FROM c3 WHERE (idx - sidx) % 2 = 0"""),
+
+    "arbitrage_signals_default": _with(", " + PAIRS.format(h=10_000).strip() + """
+SELECT symbol, ROUND(a_price, 6) AS binance_price, ROUND(b_price, 6) AS coinbase_price,
+       ROUND(ABS(a_price - b_price), 6) AS spread, ROUND(ABS(a_price - b_price) / a_price * 100, 6) AS spread_pct,
+       CASE WHEN a_price > b_price THEN 'BUY_COINBASE_SELL_BINANCE' ELSE 'BUY_BINANCE_SELL_COINBASE' END AS direction,
+       a_time_ms AS event_time
+FROM pairs WHERE a_price <> 0 AND ABS(a_price - b_price) / a_price * 100 > 0.2"""),
+
     "double_bottom_next_row": _with(", " + _pattern(43_200_000).strip() + f"""
 SELECT {DB_COLS}, b_ts AS confirmed_at FROM starts"""),
 

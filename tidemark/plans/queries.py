@@ -111,6 +111,16 @@ def q_arbitrage_signals(spark, sf_dir) -> DataFrame:
                     F.col("event_time_ms").alias("event_time"))
 
 
+def q_arbitrage_signals_default(spark, sf_dir) -> DataFrame:
+    """The reference configuration: +-10 s, spread above 0.2 %."""
+    a, b = _feeds(spark, sf_dir)
+    s = J.arbitrage_signals(a, b)
+    return s.select("symbol", r6("binance_price").alias("binance_price"),
+                    r6("coinbase_price").alias("coinbase_price"), r6("spread").alias("spread"),
+                    r6("spread_pct").alias("spread_pct"), "direction",
+                    F.col("event_time_ms").alias("event_time"))
+
+
 def _alert_rows(spark, sf_dir) -> DataFrame:
     a, b = _feeds(spark, sf_dir)
     return whales.whale_alert_rows(whales.whale_trades(a, b, normalise=True))
@@ -190,6 +200,12 @@ def q_double_bottom(spark, sf_dir) -> DataFrame:
     return _db_out(double_bottom(a, within_ms=TEST_WITHIN_MS))
 
 
+def q_double_bottom_default(spark, sf_dir) -> DataFrame:
+    """The reference configuration: 10-minute limit."""
+    a, _ = _feeds(spark, sf_dir)
+    return _db_out(double_bottom(a))
+
+
 def q_double_bottom_next_row(spark, sf_dir) -> DataFrame:
     a, _ = _feeds(spark, sf_dir)
     return _db_out(double_bottom(a, within_ms=TEST_WITHIN_MS, after_match="next_row"))
@@ -323,6 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latency_stats": q_latency_stats,
     "double_bottom": q_double_bottom,
     "double_bottom_next_row": q_double_bottom_next_row,
+    "double_bottom_default": q_double_bottom_default,
     "double_bottom_latest": q_double_bottom_latest,
     "vwap_by_window": q_vwap_by_window,
     "vwap_result_rows": q_vwap_result_rows,
@@ -332,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "whale_flags": q_whale_flags,
     "interval_join_pairs": q_interval_join_pairs,
     "arbitrage_signals": q_arbitrage_signals,
+    "arbitrage_signals_default": q_arbitrage_signals_default,
     "latest_by_key": q_latest_by_key,
     "top_recent_alerts": q_top_recent_alerts,
     "vwap_series": q_vwap_series,
