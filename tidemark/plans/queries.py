@@ -36,7 +36,12 @@ RUN_TIME = "2024-02-01 00:30:00"
 
 
 def r6(c) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 places as ``round(x * 1e6) / 1e6`` on the double itself (the
+    SQL oracle's rounding), so a value both engines compute identically also
+    rounds identically; plain ``round(x, 6)`` rounds the shortest decimal
+    text instead and can differ on ties."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.round(x * F.lit(1e6), 0) / F.lit(1e6)
 
 
 def ms(c) -> Column:
