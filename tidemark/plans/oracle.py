@@ -178,6 +178,10 @@ dead AS (
 DB_COLS = ("symbol, ROUND(first_dip, 6) AS first_dip, ROUND(second_dip, 6) AS second_dip, "
            "ROUND(peak_price, 6) AS peak_price, ROUND(breakout_price, 6) AS breakout_price")
 
+# the streamed side holds only windows the final watermark (max time - 10 s) closed
+RECON_STREAMED = RECON.replace(
+    "FROM vw WHERE window_end <=", "FROM vw WHERE window_end <= (SELECT MAX(trade_time) FROM ta) - 10000 AND window_end <=")
+
 RUN_TIME_MS = 1_706_747_400_000  # 2024-02-01 00:30:00 UTC
 
 ORACLE: dict[str, str] = {
@@ -338,6 +342,21 @@ SELECT hour_start_ms AS window_start, symbol, ROUND(streaming_vwap, 6) AS stream
             ELSE 'undefined_diff' END AS reason
 FROM jj WHERE diff_pct IS NULL"""),
 
+    "reconcile_streamed": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON_STREAMED.strip() + f"""
+SELECT CAST({RUN_TIME_MS} AS BIGINT) AS run_time, hour_start_ms AS window_start,
+       hour_start_ms + 3600000 AS window_end, symbol, ROUND(streaming_vwap, 6) AS streaming_vwap,
+       ROUND(batch_vwap, 6) AS batch_vwap, ROUND(diff_pct, 6) AS diff_pct,
+       CASE WHEN diff_pct > 0.01 THEN 'ALERT' ELSE 'OK' END AS status,
+       CAST({RUN_TIME_MS // 1000} AS BIGINT) AS version
+FROM jj WHERE diff_pct IS NOT NULL"""),
+
+    "reconcile_streamed_missing": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON_STREAMED.strip() + """
+SELECT hour_start_ms AS window_start, symbol, ROUND(streaming_vwap, 6) AS streaming_vwap,
+       ROUND(batch_vwap, 6) AS batch_vwap,
+       CASE WHEN batch_vwap IS NULL THEN 'batch' WHEN streaming_vwap IS NULL THEN 'stream'
+            ELSE 'undefined_diff' END AS reason
+FROM jj WHERE diff_pct IS NULL"""),
+
     "normalise_symbols": _with("SELECT trade_id, product_id, replace(product_id, '-USD', 'USDT') AS symbol FROM tb"),
 
     "raw_a_projection": _with("""

@@ -174,6 +174,30 @@ def q_reconcile_missing(spark, sf_dir) -> DataFrame:
                        "reason")
 
 
+def _recon_streamed(spark, sf_dir):
+    """The lake (all trades) against the VWAP windows the streaming job wrote
+    (5-minute windows; those still open at the final watermark are absent)."""
+    from tidemark.plans import stream_runs
+    a, _ = _feeds(spark, sf_dir)
+    streamed = stream_runs.run_vwap(spark, sf_dir, window="5 minutes", label="5m")
+    return reconcile.reconcile_hourly(raw_a_projection(a), streamed, run_time=RUN_TIME)
+
+
+def q_reconcile_streamed(spark, sf_dir) -> DataFrame:
+    res, _ = _recon_streamed(spark, sf_dir)
+    return res.select(ms("run_time").alias("run_time"), ms("window_start").alias("window_start"),
+                      ms("window_end").alias("window_end"), "symbol",
+                      r6("streaming_vwap").alias("streaming_vwap"), r6("batch_vwap").alias("batch_vwap"),
+                      r6("diff_pct").alias("diff_pct"), "status", "version")
+
+
+def q_reconcile_streamed_missing(spark, sf_dir) -> DataFrame:
+    _, miss = _recon_streamed(spark, sf_dir)
+    return miss.select(ms("window_start").alias("window_start"), "symbol",
+                       r6("streaming_vwap").alias("streaming_vwap"), r6("batch_vwap").alias("batch_vwap"),
+                       "reason")
+
+
 def q_normalise_symbols(spark, sf_dir) -> DataFrame:
     _, b = _feeds(spark, sf_dir)
     from tidemark.functions.columns import normalise_symbol
@@ -360,6 +384,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vwap_series": q_vwap_series,
     "reconcile": q_reconcile,
     "reconcile_missing": q_reconcile_missing,
+    "reconcile_streamed": q_reconcile_streamed,
+    "reconcile_streamed_missing": q_reconcile_streamed_missing,
     "normalise_symbols": q_normalise_symbols,
     "raw_a_projection": q_raw_a_projection,
     "raw_b_projection": q_raw_b_projection,
