@@ -166,3 +166,24 @@ def test_failure_inside_a_batch_then_restart(spark, tmp_dir):
     start(good).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == 4 and got.select("event_time").distinct().count() == 4
+
+
+def test_ingest_output_feeds_the_vwap_job(spark, tmp_dir):
+    """Raw messages -> ingest job -> typed trades folder -> VWAP job."""
+    trade = ('{{"stream":"btcusdt@trade","data":{{"e":"trade","E":{t},"s":"BTCUSDT","t":{i},'
+             '"p":"{p}","q":"1","T":{t},"m":false,"M":true}}}}')
+    msgs = [(trade.format(t=T0 + i * 60_000, i=i, p=100 + i), T0 + i * 60_000 + 5) for i in range(12)]
+    msgs.append(("{broken", T0))
+    raw = os.path.join(tmp_dir, "raw")
+    spark.createDataFrame(msgs, "value string, received_at long").coalesce(1).write.parquet(raw)
+    q = jobs.ingest_job(feeds.read_raw(spark, raw, stream=True), "a", os.path.join(tmp_dir, "ing"),
+                        checkpoint=os.path.join(tmp_dir, "ck1"), trigger=ONCE)
+    q.awaitTermination()
+    assert spark.read.parquet(os.path.join(tmp_dir, "ing", "dead_letter_a")).count() == 1
+    typed = feeds.read_trades_a(spark, os.path.join(tmp_dir, "ing", "trades_a"), stream=True)
+    q = jobs.vwap_job(typed, os.path.join(tmp_dir, "vwap"), checkpoint=os.path.join(tmp_dir, "ck2"), trigger=ONCE)
+    q.awaitTermination()
+    got = sorted((r.window_start.minute, r.vwap, r.trade_count)
+                 for r in spark.read.parquet(os.path.join(tmp_dir, "vwap")).collect())
+    # windows [0,5) and [5,10) are closed by the watermark (last row at minute 11); [10,15) is open
+    assert got == [(0, 102.0, 5), (5, 107.0, 5)]
