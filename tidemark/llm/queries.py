@@ -4,14 +4,28 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidemark.llm import packing, simhash, token_counts
+from pyspark.sql import functions as F
+
+from tidemark.llm import ball_tree, license_scan, packing, secret_scan, simhash, token_counts, toxicity
 from tidemark.llm.common import table
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_license_scan(spark, sf_dir):
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_exact_top_k(spark, sf_dir):
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_bin_slack_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -20,7 +34,12 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op8_bin_slack_packing, op9_simhash_near_dedup)}
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op3_token_counts, op5_license_scan, op6_exact_top_k, op8_bin_slack_packing, op9_simhash_near_dedup, op10_secret_scan)}
 
 #: DuckDB SQL of the same result, where SQL can express it on whole tables.
 ORACLE: dict[str, str] = {}
