@@ -133,12 +133,13 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     keys = F.array(*[F.struct(F.lit(k).alias("v"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("key"))
                      for k, (mask, _, _) in enumerate(table)])
     rows = fps.select("fp", F.inline(keys))
-    sizes = rows.groupBy("v", "key").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    shared = rows.join(sizes, ["v", "key"]).withColumn("blocks", blocks)
+    # groups larger than a block, a small table that is stored so that its size is known
+    large = materialize(rows.groupBy("v", "key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+                        .select("v", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large-groups")
+    dealt_in = rows.join(large, ["v", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     # a block meets itself and each other block once: (low, high) with the row's side
-    met = (shared.withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = (dealt_in.withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select("v", "key", "fp", F.least("mine", "with").alias("low"), F.greatest("mine", "with").alias("high"),
                    (F.col("mine") > F.col("with")).alias("side")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -190,7 +191,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataF
     Repeated rows share fingerprint and component; other columns are not read."""
     stored = materialize(fingerprints(docs, words), "fingerprints")
     fps = materialize(stored.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints-distinct")
-    roots = connected_components(links(fps.select("fp"), distance))
+    roots = connected_components(materialize(links(fps.select("fp"), distance), "links"))
     named = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = named.select("fp", "root").join(least, "root").select("fp", "component_id")
