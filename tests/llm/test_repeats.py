@@ -1,0 +1,86 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import ODD
+from tidemark.llm import repeats
+
+
+def slow_report(docs, length):
+    bodies = [(t or "").encode() for _, t in docs]
+    seen = Counter(b[i:i + length] for b in bodies for i in range(len(b) - length + 1))
+    out = []
+    for (doc_id, _), b in zip(docs, bodies):
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if seen[b[i:i + length]] > 1:
+                gone[i:i + length] = b"\x01" * length
+        spans = sum(1 for i in range(len(b)) if gone[i] and not (i and gone[i - 1]))
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        out.append((doc_id or -1, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def report(docs_of, docs, length):
+    return sorted((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.repeats_report(docs_of(docs), length).collect())
+
+
+def test_anchors_cover_every_start():
+    r = random.Random(1)
+    for text in (bytes(r.choice(b"ab") for _ in range(900)), b"x" * 300, b"abc" * 100, b"", b"short"):
+        gram, place, first, last = repeats.anchors(text, 20, 4)
+        starts = [s for a, b in zip(first, last) for s in range(a, b + 1)]
+        assert starts == list(range(max(0, len(text) - 19)))
+        assert all(b <= p <= a + 16 for p, a, b in zip(place, first, last))
+
+
+def test_columns_against_brute_force():
+    r = random.Random(5)
+    rows = [bytes(r.choice(b"ab") for _ in range(r.randint(5, 30))) for _ in range(300)]
+    shift = np.array([r.randint(-10, 0) for _ in rows])
+    want = defaultdict(list)
+    for i, row in enumerate(rows):
+        for k in range(len(row) - 4):
+            want[shift[i] + k, row[k:k + 5]].append(i)
+    of, column = repeats.repeated_starts(rows, shift, 5)
+    assert set(zip(of.tolist(), column.tolist())) == {(i, c) for (c, _), v in want.items() if len(v) > 1 for i in v}
+
+
+def corpus(seed, n=60):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdé") for _ in range(r.randint(1, 6)))
+    passages = [" ".join(word() for _ in range(r.randint(5, 40))) for _ in range(6)]
+    docs = []
+    for i in range(n):
+        parts = [" ".join(word() for _ in range(r.randint(0, 30))) for _ in range(3)]
+        parts.insert(1, r.choice(passages))
+        text = " ".join(parts)
+        if r.random() < 0.3 and docs:
+            other = list(r.choice(docs)[1])
+            if other:
+                other[r.randrange(len(other))] = "#"
+            text = "".join(other)
+        docs.append((i, text))
+    return docs + docs[:4] + [(500, "ab" * 100), (501, "z" * 90), (502, "z" * 19)]
+
+
+@pytest.mark.parametrize("group,batch", [(20_000, 20_000), (3, 5)])
+def test_report_against_brute_force(docs_of, monkeypatch, group, batch):
+    """Also with groups cut by columns, and with collections of few segments."""
+    monkeypatch.setattr(repeats, "GROUP", group)
+    monkeypatch.setattr(repeats, "BATCH", batch)
+    docs = corpus(group)
+    assert report(docs_of, docs, 20) == slow_report(docs, 20)
+
+
+def test_full_length_and_odd_rows(docs_of):
+    docs = [d for d in ODD if len(d[1] or "") < 9000] + [(20 + i, "p" * i + " and a passage of some length " * 9 + str(i) * 230) for i in range(4)]
+    assert report(docs_of, docs, 200) == slow_report(docs, 200)
+
+
+def test_empty_table_leaves_no_table(spark, docs_of):
+    assert repeats.repeats_report(docs_of([])).count() == 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("repeats_")]

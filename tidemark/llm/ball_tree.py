@@ -83,7 +83,7 @@ class BallTree:
             raise OverflowError("an inner product of these vectors may exceed a long")
         exact = top * self.largest * queries.shape[1] < 2 ** 53  # doubles hold the scores, and multiply fast
         kind = np.float64 if exact else np.int64
-        q, rows = queries.astype(kind), self.rows.astype(kind)
+        q = queries.astype(kind)
         norms = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
         bounds = queries.astype(np.float64) @ self.centres.T + norms[:, None] * self.radii
         bounds += 1 + np.abs(bounds) * 1e-9
@@ -101,7 +101,7 @@ class BallTree:
                 for child in (left, right):
                     heapq.heappush(heap, (-bounds[live, child].max(), child))
                 continue
-            got = (q[live] @ rows[a:b].T).astype(np.int64)
+            got = (q[live] @ self.rows[a:b].astype(kind).T).astype(np.int64)
             got[query_ids[live][:, None] == self.ids[a:b][None, :]] = NONE
             better = np.flatnonzero(got.max(1) >= kth[live])
             if not len(better):

@@ -132,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     """A model from at most ``per_class`` labelled documents of each class, none
     of them in fold ``held_out``. Where a class is missing, the score is a constant:
     the share of label 1 among the rows seen, a half without any."""
-    sample = labelled_sample(docs, labels, label, fold(F.col("doc_id"), folds) != held_out, per_class)
+    sample, shift = labelled_sample(docs, labels, label, fold(F.col("doc_id"), folds) != held_out, per_class)
     calibrates = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CALIBRATE_FOLDS)) == 0
     trains = sample.where(~calibrates)
     words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
@@ -161,6 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
         bias = np.log((share + 1e-3) / (1 - share + 1e-3))
         return Model(ordinary, toxic, (0.0,) * width, (1.0,) * width, (float(bias), *[0.0] * width))
     mean, scale, w = _logistic(np.stack(got["x"].to_numpy()), y)
+    w[0] += shift
     return Model(ordinary, toxic, tuple(mean), tuple(scale), tuple(w))
 
 
@@ -193,8 +194,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, f
                       (F.col("score") >= threshold).cast("int").alias("predicted"), "n_windows", "max_gain")
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below ``threshold``, with their columns."""
-    model = fit(docs, labels)
+def without_toxic(docs: DataFrame, learn_from: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The documents of ``docs`` that score below ``threshold``, with their
+    columns; the model learns from the labelled rows of ``learn_from``."""
+    model = fit(learn_from, labels)
     packed = docs.select(F.struct(*docs.columns).alias("__row"), "text")
     return score(packed, model, ["__row"]).where(F.col("score") < threshold).select("__row.*")
