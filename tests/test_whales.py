@@ -1,7 +1,10 @@
+import re
+
+import pytest
 from conftest import ms
 from rows import trades_a, trades_b
 
-from tidemark.operators.whales import whale_flags, whale_trades
+from tidemark.operators.whales import _preimages, whale_flags, whale_trades
 
 
 def _a(spark):
@@ -39,11 +42,24 @@ def test_flags_use_unknown_threshold(spark):
     assert f[("binance", "1")].base_asset == "BTC"
 
 
-def test_threshold_filter_pushed_to_scan(spark, tmp_dir):
+@pytest.mark.parametrize("n", [3, 64, 65, 500])
+@pytest.mark.parametrize("normalise", [False, True])
+def test_threshold_filter_pushed_to_scan(spark, tmp_dir, n, normalise):
     _a(spark).write.parquet(tmp_dir + "/a")
     _b(spark).write.parquet(tmp_dir + "/b")
-    df = whale_trades(spark.read.parquet(tmp_dir + "/a"), spark.read.parquet(tmp_dir + "/b"))
+    thresholds = {"BTCUSDT": 5.0, "ETHUSDT": 50.0, "SOLUSDT": 500.0, **{f"X{i}USDT": 7.5 for i in range(n - 3)}}
+    df = whale_trades(spark.read.parquet(tmp_dir + "/a"), spark.read.parquet(tmp_dir + "/b"), thresholds=thresholds, normalise=normalise)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [Or(Or(And(EqualTo(symbol,BTCUSDT),GreaterThanOrEqual(quantity" in plan
-    assert "PushedFilters: [Or(Or(And(EqualTo(product_id,BTCUSDT)" in plan
+    pushed = re.findall(r"PushedFilters: \[(.*)", plan)
+    assert len(pushed) == 2
+    assert "In(symbol, [" in pushed[0] and "GreaterThanOrEqual(quantity,5.00000000)" in pushed[0]
+    assert "In(product_id, [" in pushed[1] and "GreaterThanOrEqual(size,5.00000000)" in pushed[1]
     assert "Exchange" not in plan
+    few = whale_trades(_a(spark), _b(spark), normalise=normalise).collect()
+    assert sorted(df.collect()) == sorted(few)
+
+
+def test_preimages():
+    assert _preimages("BTCUSDT") == ["BTC-USD", "BTCUSDT"]
+    assert _preimages("USDTUSDT") == ["-USD-USD", "-USDUSDT", "USDT-USD", "USDTUSDT"]
+    assert _preimages("BTC") == ["BTC"]

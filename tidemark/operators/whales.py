@@ -11,22 +11,28 @@ from tidemark import config as C
 from tidemark.functions.columns import (as_double, base_asset, ms_to_ts, normalise_symbol,
                                         side_from_maker, version_of)
 
-# Up to this many symbols the threshold test is a literal disjunction that the
-# Parquet reader can evaluate (pushed filter); beyond it a map lookup is used.
-_MAX_DISJUNCTS = 64
+_LIMIT = "decimal(38,18)"
 
 
-def _threshold_predicate(symbol: Column, qty: Column, thresholds: dict[str, float]) -> Column:
-    """``qty >= thresholds[symbol]``; symbols not in the table never pass."""
+def _reaches(symbol: Column, qty: Column, thresholds: dict[str, float]) -> Column:
+    """``qty >= thresholds[symbol]`` in decimals, the same form for any number of
+    symbols. The first two tests follow from the third; they are what a Parquet
+    reader can evaluate (pushed filters). Symbols not in the table never pass."""
     if not thresholds:
         return F.lit(False)
-    if len(thresholds) <= _MAX_DISJUNCTS:
-        pred = None
-        for s, t in thresholds.items():
-            term = (symbol == F.lit(s)) & (qty >= F.lit(Decimal(str(t))))
-            pred = term if pred is None else pred | term
-        return pred
-    return qty >= _threshold_lookup(symbol, thresholds)
+    limits = {s: Decimal(str(t)) for s, t in thresholds.items()}
+    pairs = [x for s, t in limits.items() for x in (F.lit(s), F.lit(t).cast(_LIMIT))]
+    return ((qty >= F.lit(min(limits.values()))) & symbol.isin(*limits)
+            & (qty >= F.try_element_at(F.create_map(*pairs), symbol)))
+
+
+def _preimages(symbol: str) -> list[str]:
+    """Every product id that normalises to ``symbol``."""
+    places = [i for i in range(len(symbol)) if symbol.startswith(C.NORMALISE_TO, i)]
+    ids = {symbol}
+    for i in reversed(places):  # from the right, so that the places before stay valid
+        ids |= {x[:i] + C.NORMALISE_FROM + x[i + len(C.NORMALISE_TO):] for x in ids if x.startswith(C.NORMALISE_TO, i)}
+    return sorted(x for x in ids if x.replace(C.NORMALISE_FROM, C.NORMALISE_TO) == symbol)
 
 
 def _threshold_lookup(symbol: Column, thresholds: dict[str, float]) -> Column:
@@ -70,12 +76,13 @@ def whale_trades(trades_a: DataFrame, trades_b: DataFrame, *,
     product id (``BTC-USD``) and so never match a threshold symbol.
     ``normalise=True`` maps them to venue A symbols first.
 
-    The threshold test is applied to each venue's raw columns before the
-    union, so it is pushed into the Parquet scans; the job is map-only."""
+    The threshold test is applied to each venue's raw columns before the union:
+    symbol (venue B: the product ids that normalise to it) and least quantity
+    reach both Parquet scans as pushed filters; the job is map-only."""
     thr = C.WHALE_THRESHOLDS if thresholds is None else thresholds
-    a = trades_a.where(_threshold_predicate(F.col("symbol"), F.col("quantity"), thr))
-    sym_b = normalise_symbol("product_id") if normalise else F.col("product_id")
-    b = trades_b.where(_threshold_predicate(sym_b, F.col("size"), thr))
+    a = trades_a.where(_reaches(F.col("symbol"), F.col("quantity"), thr))
+    thr_b = {p: t for s, t in thr.items() for p in _preimages(s)} if normalise else thr
+    b = trades_b.where(_reaches(F.col("product_id"), F.col("size"), thr_b))
     return whale_union(a, b, normalise=normalise)
 
 
