@@ -23,13 +23,26 @@ def test_status_thresholds(spark):
     assert r.version == ms("2024-01-01 02:05:00") // 1000
 
 
-def test_empty_side_skips_the_range(spark):
-    res, miss = _hour(spark, [("A", 100.0)], [])
-    assert res.count() == 0 and miss.count() == 0
+def test_one_sided_range_gives_reasons_and_no_results(spark):
+    res, miss = _hour(spark, [("A", 100.0), ("B", 5.0)], [])
+    assert res.count() == 0 and {(r.symbol, r.reason) for r in miss.collect()} == {("A", "no_streamed_rows"), ("B", "no_streamed_rows")}
     res, miss = _hour(spark, [], [("A", 100.0)])
+    assert res.count() == 0 and [(r.symbol, r.reason) for r in miss.collect()] == [("A", "no_batch_rows")]
+    res, miss = _hour(spark, [], [])
     assert res.count() == 0 and miss.count() == 0
 
 
+def test_outage_of_the_streaming_job_is_reported(spark):
+    t = datetime.fromisoformat
+    raw = spark.createDataFrame([("A", 30.0, 1.0, ms("2024-01-01 01:10:00")), ("A", 10.0, 1.0, ms("2024-01-01 00:10:00"))],
+                                "symbol string, price double, quantity double, trade_time long")
+    vw = spark.createDataFrame([("A", t("2024-01-01 00:10:00"), t("2024-01-01 00:15:00"), 10.0, 1.0)],
+                               "symbol string, window_start timestamp, window_end timestamp, vwap double, total_volume double")
+    res, miss = reconcile_hourly(raw, vw, run_time="2024-01-01 03:00:00")
+    assert [r.window_start.hour for r in res.collect()] == [0]
+    assert [(r.window_start.hour, r.symbol, r.reason) for r in miss.collect()] == [(1, "A", "no_streamed_rows")]
+
+
 def test_streaming_range_and_hourly(spark):
     t = datetime.fromisoformat
     vw = spark.createDataFrame([

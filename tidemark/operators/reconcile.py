@@ -4,9 +4,10 @@ For a time range ``[start, end)``: batch VWAP per symbol from the lake (A4),
 the unweighted mean of the streamed window VWAPs inside the range (A5), a
 full outer join on symbol (J3), ``diff_pct = |batch - stream| / batch * 100``
 and ``ALERT`` above the tolerance (Q1). A range where either side has no rows
-is skipped (Q2). Symbols present on one side only, and rows whose
-``diff_pct`` is undefined (batch VWAP 0 or null), go to the ``missing``
-output. ``reconcile_hourly`` runs the same logic for every completed hour at
+gives no results (Q2); its rows go to the ``missing`` output with the reason
+``no_batch_rows`` or ``no_streamed_rows``. So do, in other ranges, symbols
+present on one side only (``batch``, ``stream``: the side that lacks them) and
+rows whose ``diff_pct`` is undefined (``undefined_diff``: batch VWAP 0). ``reconcile_hourly`` runs the same logic for every completed hour at
 once, as one plan.
 """
 
@@ -39,15 +40,20 @@ def _compare(joined: DataFrame, tolerance_pct: float) -> DataFrame:
                    .otherwise(F.lit(C.STATUS_OK)))
 
 
-def _both_sides_present(j: DataFrame, key: str) -> DataFrame:
-    """Q2: keep only ranges (``key``) with rows on both sides. ``j`` is the
-    joined per-symbol aggregates, so a window group is one range's symbols;
-    the inputs are read once (no second branch over them)."""
+def _with_reason(j: DataFrame, key: str) -> DataFrame:
+    """Q2: add ``reason``, null for the rows that give a result. ``j`` is the
+    joined per-symbol aggregates with the side flags ``has_batch`` and
+    ``has_stream``, so a window group is one range's symbols; the inputs are
+    read once (no second branch over them)."""
     w = Window.partitionBy(key)
-    return (j.withColumn("_b", F.max(F.col("batch_vwap").isNotNull().cast("int")).over(w))
-             .withColumn("_s", F.max(F.col("streaming_vwap").isNotNull().cast("int")).over(w))
-             .where((F.col("_b") == 1) & (F.col("_s") == 1))
-             .drop("_b", "_s"))
+    any_row = lambda c: F.max(F.coalesce(F.col(c), F.lit(False))).over(w)
+    j = j.withColumn("_b", any_row("has_batch")).withColumn("_s", any_row("has_stream"))
+    reason = (F.when(~F.col("_b"), F.lit("no_batch_rows"))
+               .when(~F.col("_s"), F.lit("no_streamed_rows"))
+               .when(F.col("has_batch").isNull(), F.lit("batch"))
+               .when(F.col("has_stream").isNull(), F.lit("stream"))
+               .when(F.col("diff_pct").isNull(), F.lit("undefined_diff")))
+    return j.withColumn("reason", reason)
 
 
 def reconcile(batch: DataFrame, stream: DataFrame, *, run_time, window_start, window_end,
@@ -55,22 +61,17 @@ def reconcile(batch: DataFrame, stream: DataFrame, *, run_time, window_start, wi
     """One range. ``batch``: (symbol, batch_vwap); ``stream``: (symbol, streaming_vwap).
     Returns ``(results, missing)``."""
     key = F.lit(window_start).cast("timestamp").alias("_range")
-    b = batch.select(key, "symbol", "batch_vwap")
-    s = stream.select(key, "symbol", "streaming_vwap")
-    j = _both_sides_present(b.join(s, ["_range", "symbol"], "full_outer"), "_range")
-    j = _compare(j, tolerance_pct)
+    b = batch.select(key, "symbol", "batch_vwap", F.lit(True).alias("has_batch"))
+    s = stream.select(key, "symbol", "streaming_vwap", F.lit(True).alias("has_stream"))
+    j = _with_reason(_compare(b.join(s, ["_range", "symbol"], "full_outer"), tolerance_pct), "_range")
     rt = F.lit(run_time).cast("timestamp")
-    ok = F.col("diff_pct").isNotNull()
+    ok = F.col("reason").isNull()
     results = j.where(ok).select(
         rt.alias("run_time"), F.lit(window_start).cast("timestamp").alias("window_start"),
         F.lit(window_end).cast("timestamp").alias("window_end"), "symbol",
         "streaming_vwap", "batch_vwap", "diff_pct", "status",
         F.unix_seconds(rt).alias("version"))
-    missing = j.where(~ok).select(
-        "symbol", "streaming_vwap", "batch_vwap",
-        F.when(F.col("batch_vwap").isNull(), F.lit("batch"))
-         .when(F.col("streaming_vwap").isNull(), F.lit("stream"))
-         .otherwise(F.lit("undefined_diff")).alias("reason"))
+    missing = j.where(~ok).select("symbol", "streaming_vwap", "batch_vwap", "reason")
     return results, missing
 
 
@@ -87,17 +88,17 @@ def reconcile_hourly(raw_a: DataFrame, vwap_rows: DataFrame, *, run_time,
     emptiness test handle small inputs whatever the trade volume."""
     from tidemark.operators.vwap import batch_vwap_by_hour
 
-    b = batch_vwap_by_hour(raw_a, hour_ms=hour_ms)
+    b = batch_vwap_by_hour(raw_a, hour_ms=hour_ms).withColumn("has_batch", F.lit(True))
     ws_ms = F.unix_millis("window_start")
     we_ms = F.unix_millis("window_end")
     h0 = F.floor(ws_ms / hour_ms) * hour_ms
     s = (vwap_rows.where(we_ms <= h0 + hour_ms)
                   .groupBy("symbol", h0.alias("hour_start_ms"))
-                  .agg(_stream_mean(weighted).alias("streaming_vwap")))
-    j = _both_sides_present(b.join(s, ["symbol", "hour_start_ms"], "full_outer"), "hour_start_ms")
-    j = _compare(j, tolerance_pct)
+                  .agg(_stream_mean(weighted).alias("streaming_vwap"))
+                  .withColumn("has_stream", F.lit(True)))
+    j = _with_reason(_compare(b.join(s, ["symbol", "hour_start_ms"], "full_outer"), tolerance_pct), "hour_start_ms")
     rt = F.lit(run_time).cast("timestamp")
-    ok = F.col("diff_pct").isNotNull()
+    ok = F.col("reason").isNull()
     results = j.where(ok).select(
         rt.alias("run_time"),
         F.timestamp_millis("hour_start_ms").alias("window_start"),
@@ -106,8 +107,5 @@ def reconcile_hourly(raw_a: DataFrame, vwap_rows: DataFrame, *, run_time,
         F.unix_seconds(rt).alias("version"))
     missing = j.where(~ok).select(
         F.timestamp_millis("hour_start_ms").alias("window_start"), "symbol",
-        "streaming_vwap", "batch_vwap",
-        F.when(F.col("batch_vwap").isNull(), F.lit("batch"))
-         .when(F.col("streaming_vwap").isNull(), F.lit("stream"))
-         .otherwise(F.lit("undefined_diff")).alias("reason"))
+        "streaming_vwap", "batch_vwap", "reason")
     return results, missing

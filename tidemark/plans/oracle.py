@@ -90,9 +90,20 @@ j AS (
          sv.streaming_vwap, bv.batch_vwap
   FROM bv FULL OUTER JOIN sv ON bv.symbol = sv.symbol AND bv.hour_start_ms = sv.hour_start_ms),
 jj AS (
-  SELECT *, ABS(batch_vwap - streaming_vwap) / NULLIF(batch_vwap, 0) * 100 AS diff_pct
-  FROM j
-  WHERE hour_start_ms IN (SELECT hour_start_ms FROM bv) AND hour_start_ms IN (SELECT hour_start_ms FROM sv))"""
+  SELECT *, ABS(batch_vwap - streaming_vwap) / NULLIF(batch_vwap, 0) * 100 AS diff_pct FROM j),
+jr AS (
+  SELECT *, CASE WHEN hour_start_ms NOT IN (SELECT hour_start_ms FROM bv) THEN 'no_batch_rows'
+                 WHEN hour_start_ms NOT IN (SELECT hour_start_ms FROM sv) THEN 'no_streamed_rows'
+                 WHEN batch_vwap IS NULL THEN 'batch' WHEN streaming_vwap IS NULL THEN 'stream'
+                 WHEN diff_pct IS NULL THEN 'undefined_diff' END AS reason FROM jj)"""
+
+# both sides with outages (see plans.queries._recon)
+RECON_OUTAGES = RECON.replace(
+    "FROM vw WHERE window_end <=", "FROM vw WHERE window_start // 3600000 % 7 <> 0 AND "
+    "(window_start // 3600000 % 5 <> 0 OR symbol <= 'BTCUSDT') AND window_end <=").replace(
+    "SUM(price * quantity)", "SUM(CASE WHEN trade_time // 3600000 % 17 = 0 THEN 0 ELSE price END * quantity)").replace(
+    "FROM raw_a GROUP", "FROM raw_a WHERE trade_time // 3600000 % 11 <> 0 AND "
+    "(trade_time // 3600000 % 13 <> 0 OR symbol <> 'BTCUSDT') GROUP")
 
 def _pattern(within_ms: int) -> str:
     return f"""
@@ -327,20 +338,17 @@ ORDER BY event_time DESC, symbol DESC, exchange DESC, side DESC, price DESC, qua
 SELECT window_start AS time, concat(symbol, ' VWAP') AS metric, ROUND(vwap, 6) AS vwap FROM vw
 WHERE window_start >= 1704067200000 AND window_start <= 1706745600000"""),
 
-    "reconcile": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON.strip() + f"""
+    "reconcile": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON_OUTAGES.strip() + f"""
 SELECT CAST({RUN_TIME_MS} AS BIGINT) AS run_time, hour_start_ms AS window_start,
        hour_start_ms + 3600000 AS window_end, symbol, ROUND(streaming_vwap, 6) AS streaming_vwap,
        ROUND(batch_vwap, 6) AS batch_vwap, ROUND(diff_pct, 6) AS diff_pct,
        CASE WHEN diff_pct > 0.01 THEN 'ALERT' ELSE 'OK' END AS status,
        CAST({RUN_TIME_MS // 1000} AS BIGINT) AS version
-FROM jj WHERE diff_pct IS NOT NULL"""),
+FROM jr WHERE reason IS NULL"""),
 
-    "reconcile_missing": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON.strip() + """
+    "reconcile_missing": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON_OUTAGES.strip() + """
 SELECT hour_start_ms AS window_start, symbol, ROUND(streaming_vwap, 6) AS streaming_vwap,
-       ROUND(batch_vwap, 6) AS batch_vwap,
-       CASE WHEN batch_vwap IS NULL THEN 'batch' WHEN streaming_vwap IS NULL THEN 'stream'
-            ELSE 'undefined_diff' END AS reason
-FROM jj WHERE diff_pct IS NULL"""),
+       ROUND(batch_vwap, 6) AS batch_vwap, reason FROM jr WHERE reason IS NOT NULL"""),
 
     "reconcile_streamed": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON_STREAMED.strip() + f"""
 SELECT CAST({RUN_TIME_MS} AS BIGINT) AS run_time, hour_start_ms AS window_start,
@@ -348,14 +356,11 @@ SELECT CAST({RUN_TIME_MS} AS BIGINT) AS run_time, hour_start_ms AS window_start,
        ROUND(batch_vwap, 6) AS batch_vwap, ROUND(diff_pct, 6) AS diff_pct,
        CASE WHEN diff_pct > 0.01 THEN 'ALERT' ELSE 'OK' END AS status,
        CAST({RUN_TIME_MS // 1000} AS BIGINT) AS version
-FROM jj WHERE diff_pct IS NOT NULL"""),
+FROM jr WHERE reason IS NULL"""),
 
     "reconcile_streamed_missing": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON_STREAMED.strip() + """
 SELECT hour_start_ms AS window_start, symbol, ROUND(streaming_vwap, 6) AS streaming_vwap,
-       ROUND(batch_vwap, 6) AS batch_vwap,
-       CASE WHEN batch_vwap IS NULL THEN 'batch' WHEN streaming_vwap IS NULL THEN 'stream'
-            ELSE 'undefined_diff' END AS reason
-FROM jj WHERE diff_pct IS NULL"""),
+       ROUND(batch_vwap, 6) AS batch_vwap, reason FROM jr WHERE reason IS NOT NULL"""),
 
     "normalise_symbols": _with("SELECT trade_id, product_id, replace(product_id, '-USD', 'USDT') AS symbol FROM tb"),
 

@@ -154,9 +154,16 @@ def q_vwap_series(spark, sf_dir) -> DataFrame:
 
 
 def _recon(spark, sf_dir):
+    """Both sides with outages: the streamed side lacks every 7th hour and, in
+    every 5th, symbols after 'BTCUSDT'; the lake lacks every 11th hour and, in
+    every 13th, 'BTCUSDT'; in every 17th hour its trades have price 0."""
     a, _ = _feeds(spark, sf_dir)
-    streamed = vwap_rows(vwap_by_window(a))
-    return reconcile.reconcile_hourly(raw_a_projection(a), streamed, run_time=RUN_TIME)
+    hour = F.floor(F.unix_millis("window_start") / 3_600_000)
+    streamed = vwap_rows(vwap_by_window(a)).where((hour % 7 != 0) & ((hour % 5 != 0) | (F.col("symbol") <= "BTCUSDT")))
+    lake_hour = F.floor(F.col("trade_time") / 3_600_000)
+    lake = (raw_a_projection(a).where((lake_hour % 11 != 0) & ((lake_hour % 13 != 0) | (F.col("symbol") != "BTCUSDT")))
+            .withColumn("price", F.when(lake_hour % 17 == 0, F.lit(0.0)).otherwise(F.col("price"))))
+    return reconcile.reconcile_hourly(lake, streamed, run_time=RUN_TIME)
 
 
 def q_reconcile(spark, sf_dir) -> DataFrame:
