@@ -14,13 +14,12 @@ def latest_by_key(df: DataFrame, key: Sequence[str], *, version: str = "version"
     higher ``tiebreak`` columns that exist (later batch, later row), then to
     the remaining columns so the result is deterministic.
 
-    A single ``max_by`` aggregate: it is combined map-side, so a key with a
-    third of all rows ships one partial row per input partition."""
+    One ``max`` over a struct that holds every other column once, in that
+    order: it is combined map-side, so a key with a third of all rows ships one
+    partial row per input partition."""
     key = list(key)
     rest = [c for c in df.columns if c not in key]
     ties = [c for c in tiebreak if c in df.columns and c != version]
-    others = [c for c in rest if c != version and c not in ties]
-    order = F.struct(*[F.col(c) for c in [version, *ties, *others]])
-    payload = F.struct(*[F.col(c) for c in rest])
-    out = df.groupBy(*key).agg(F.max_by(payload, order).alias("_r"))
+    ordered = [version, *ties, *(c for c in rest if c != version and c not in ties)]
+    out = df.groupBy(*key).agg(F.max(F.struct(*ordered)).alias("_r"))
     return out.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
