@@ -41,3 +41,30 @@ def test_interval_join_spreads_one_symbol(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pattern_time_is_linear_in_the_rows_of_a_bucket(spark):
+    """200,000 rows of one symbol in one hour bucket against the same rows over
+    50 buckets. (Frames that run to the end of a bucket took minutes here.)"""
+    import time
+
+    def seconds(step_ms):
+        # 18 ms apart: all in one hour; 900 ms apart: 50 hours
+        rows = spark.range(200_000).select(
+            F.lit("BTCUSDT").alias("symbol"), (F.lit(T0) + F.col("id") * step_ms).alias("ts"), F.col("id").alias("tid"),
+            (100 + F.pmod(F.xxhash64("id"), F.lit(50))).cast("double").alias("price"))
+        rows = rows.withColumn("bucket", F.floor(F.col("ts") / D.DEFAULT_BUCKET_MS))
+        began = time.time()
+        D._with_neighbours(rows).write.format("noop").mode("overwrite").save()
+        return time.time() - began
+
+    seconds(900)  # compiled and warm
+    many, one = seconds(900), seconds(18)
+    assert one < 10 * many + 5
+
+
+def test_no_frame_runs_to_the_end(spark):
+    rows = D._rows(trades_a(spark, [("BTCUSDT", T0, 1, 100, 1)]), "trade_time", "price", "trade_id", "symbol", D.DEFAULT_BUCKET_MS)
+    nb = D._with_neighbours(rows)
+    for df in (nb, D._tail_map(D._segments(nb))):
+        assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()

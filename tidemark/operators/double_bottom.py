@@ -21,14 +21,16 @@ Distributed formulation (no task ever holds a whole symbol):
    a bucket give each row its neighbours; a bucket's first/last row takes
    them from a per-bucket summary (one row per bucket) shifted by one bucket.
    ``d = sign(price - previous price)`` (0 for the first row).
-2. A row ends a *run* when the next row's ``d`` differs. In the same window
-   pass every row gets the first run end at or after it inside its bucket (a
-   reverse running minimum); a bucket's trailing rows have none yet.
+2. A row ends a *run* when the next row's ``d`` differs. Every row gets the
+   first run end at or after it inside its bucket (the last non-null end of a
+   frame that runs backwards, on the same partitioning); a bucket's trailing
+   rows have none yet. All frames are running ones, linear in the rows.
 3. Rows are aggregated into segments by that key (combined map-side); a
    bucket's trailing segment takes the first run end of a later bucket (one
    row per bucket), and segments are merged into runs: direction, first row,
-   last price, and the row after the run. Only one row-level table is
-   written. The next run is the one whose first row is that row, so the
+   last price, and the row after the run. Two row-level tables are written:
+   the four columns read from the source (which is read once; rows and bucket
+   summary both come from that table) and the rows with their run keys. The next run is the one whose first row is that row, so the
    sequence falling -> rising -> falling -> break row is found with two
    equi-joins on high-cardinality run keys.
 4. The time limit picks the start row; only candidates whose whole first-dip
@@ -86,13 +88,16 @@ def _with_neighbours(rows: DataFrame) -> DataFrame:
     rn = F.row_number().over(wl)
     prev = F.when(rn == 1, F.col("prev_bucket_price")).otherwise(F.lag("price").over(wl))
     nxt = F.coalesce(F.lead(F.struct("ts", "tid", "price")).over(wl), F.col("next_bucket_row"))
-    r = r.select("symbol", "bucket", "ts", "tid", "price",
+    r = r.select("symbol", "bucket", "ts", "tid", "price", rn.alias("rn"),
                  F.coalesce(F.signum(F.col("price") - prev), F.lit(0.0)).cast("int").alias("d"),
                  nxt.alias("nxt"))
     d_next = F.coalesce(F.signum(F.col("nxt.price") - F.col("price")), F.lit(0.0)).cast("int")
     is_end = F.col("nxt").isNull() | (d_next != F.col("d"))
-    ahead = wl.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    r = r.withColumn("_lkey", F.min(F.when(is_end, F.struct("ts", "tid"))).over(ahead))
+    # the first run end at or after a row is the last one so far, read backwards:
+    # a running frame, linear in the rows of the bucket
+    back = (Window.partitionBy("symbol", "bucket").orderBy(F.desc("rn"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    r = r.withColumn("_lkey", F.last(F.when(is_end, F.struct("ts", "tid")), ignorenulls=True).over(back))
     return r.select("symbol", "bucket", "ts", "tid", "price", "d", "nxt",
                     F.col("_lkey.ts").alias("lkey_ts"), F.col("_lkey.tid").alias("lkey_tid"))
 
@@ -114,10 +119,10 @@ def _tail_map(segs: DataFrame) -> DataFrame:
     per_bucket = segs.groupBy("symbol", "bucket").agg(
         F.min(F.when(F.col("lkey_ts").isNotNull(), F.struct(
             F.col("lkey_ts").alias("ts"), F.col("lkey_tid").alias("tid")))).alias("first_end"))
-    wb = (Window.partitionBy("symbol").orderBy("bucket")
-          .rowsBetween(1, Window.unboundedFollowing))
+    wb = (Window.partitionBy("symbol").orderBy(F.desc("bucket"))
+          .rowsBetween(Window.unboundedPreceding, -1))
     return per_bucket.select("symbol", "bucket",
-                             F.first("first_end", ignorenulls=True).over(wb).alias("later_end"))
+                             F.last("first_end", ignorenulls=True).over(wb).alias("later_end"))
 
 
 def _runs(segs: DataFrame, tails: DataFrame) -> DataFrame:
@@ -213,12 +218,13 @@ def double_bottom(trades: DataFrame, *, within_ms: int = C.PATTERN_WITHIN_MS,
                   after_match: str = "past_last_row", bucket_ms: int = DEFAULT_BUCKET_MS,
                   time_col: str = "trade_time", price_col: str = "price",
                   id_col: str = "trade_id", symbol_col: str = "symbol",
-                  cleanup: bool = True) -> DataFrame:
+                  cleanup: bool = True, out_path: str | None = None) -> DataFrame:
     """Batch double-bottom matches. Output: symbol, first_dip, second_dip,
     peak_price, breakout_price, confirmed_at (timestamp), confirmed_at_ms.
 
     Runs its stages eagerly (writes under ``spark.checkpoint.dir``) and
-    returns a DataFrame over the written matches."""
+    returns a DataFrame over the written matches (at ``out_path``, else a
+    new folder there). The stages are removed also when one of them fails."""
     if after_match not in ("past_last_row", "next_row"):
         raise ValueError(f"after_match must be past_last_row or next_row, not {after_match!r}")
     rows = _rows(trades, time_col, price_col, id_col, symbol_col, bucket_ms)
@@ -232,26 +238,27 @@ def double_bottom(trades: DataFrame, *, within_ms: int = C.PATTERN_WITHIN_MS,
         paths.append(scratch_path(spark, name))
         return materialize(df, name, path=paths[-1])
 
-    nb = stage(_with_neighbours(rows), "double-bottom-rows")
-    segs = stage(_segments(nb), "double-bottom-segments")
-    tails = _tail_map(segs)
-    runs = stage(_runs(segs, tails), "double-bottom-runs")
-    c = stage(_candidates(runs, within_ms), "double-bottom-candidates")
-    dips = _first_dip_rows(nb, tails)
-    if after_match == "next_row":
-        m = (c.join(dips, ["symbol", "f_ts", "f_tid"])
-              .where(F.col("b_ts") - F.col("st_ts") < within_ms)
-              .withColumn("first_dip", F.col("st_price")))
-    else:
-        st = stage(_starts_first(c, dips, within_ms), "double-bottom-starts")
-        m = _past_last_row(st, bucket_ms)
-    out = materialize(m.select("symbol", "first_dip", "second_dip", "peak_price", "breakout_price",
-                               F.timestamp_millis("b_ts").alias("confirmed_at"),
-                               F.col("b_ts").alias("confirmed_at_ms")), "double-bottom-matches")
-    if cleanup:
-        for p in paths:
-            delete_path(spark, p)
-    return out
+    try:
+        nb = stage(_with_neighbours(stage(rows, "double-bottom-source")), "double-bottom-rows")
+        segs = stage(_segments(nb), "double-bottom-segments")
+        tails = _tail_map(segs)
+        runs = stage(_runs(segs, tails), "double-bottom-runs")
+        c = stage(_candidates(runs, within_ms), "double-bottom-candidates")
+        dips = _first_dip_rows(nb, tails)
+        if after_match == "next_row":
+            m = (c.join(dips, ["symbol", "f_ts", "f_tid"])
+                  .where(F.col("b_ts") - F.col("st_ts") < within_ms)
+                  .withColumn("first_dip", F.col("st_price")))
+        else:
+            st = stage(_starts_first(c, dips, within_ms), "double-bottom-starts")
+            m = _past_last_row(st, bucket_ms)
+        return materialize(m.select("symbol", "first_dip", "second_dip", "peak_price", "breakout_price",
+                                    F.timestamp_millis("b_ts").alias("confirmed_at"),
+                                    F.col("b_ts").alias("confirmed_at_ms")), "double-bottom-matches", path=out_path)
+    finally:
+        if cleanup:
+            for p in paths:
+                delete_path(spark, p)
 
 
 def double_bottom_rows(matches: DataFrame) -> DataFrame:
