@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from tidemark.operators.ingest import latency_stats, parse_feed_a, parse_feed_b
+from tidemark.operators.ingest import latency_stats, parse_feed_a, parse_feed_b, parsed_feed_b, split_feed_b
 
 
 def _raw(spark, msgs):
@@ -58,3 +58,34 @@ def test_latency_stats(spark):
     trades, _ = parse_feed_a(spark.createDataFrame([(msgs[0], 1704067200250)], "value string, received_at long"))
     r = latency_stats(trades).first()
     assert (r.symbol, r.exchange, r.trades, r.min_latency_ms, r.avg_latency_ms) == ("BTCUSDT", "binance", 1, 250, 250.0)
+
+
+def test_flag_text_is_not_a_literal(spark):
+    flags = ['"0"', '"false"', '""', '0', '0.0', '1', 'false', 'true', 'null', '"x"']
+    msgs = ['{' + TRADE.format(t=i, p="1") + ',"M" : ' + f + '}' for i, f in enumerate(flags)]
+    trades, dead = parse_feed_a(_raw(spark, msgs))
+    assert sorted(r.trade_id for r in trades.collect()) == [0, 1, 5, 7, 9] and dead.count() == 0
+
+
+def test_bad_elements_leave_their_siblings(spark):
+    tr = '{{"trade_id":"{i}","product_id":"BTC-USD","price":"1","size":"0.4","side":"BUY","time":"{t}"}}'
+    good = [tr.format(i=i, t="2024-01-01T00:00:04Z") for i in range(6)]
+    msgs = ['{"channel":"market_trades","events":[{"type":"update","trades":[' + good[0] + ',5,null,"x",' + good[1] + ']},7,'
+            '{"type":"update","trades":[' + good[2] + ']},{"type":"update","trades":[]},{"type":"update"}]}',
+            '{"channel":"market_trades","events":[{"type":"snapshot","trades":[' + good[3] + ',' + good[4] + ']}]}',
+            '{"channel":"market_trades","events":[]}', '{"channel":"market_trades"}', '{"channel":"market_trades","events":[{"type"',
+            '{"channel":"market_trades","events":[{"type":"update","trades":[' + tr.format(i=9, t="12:30:00") + ']}]}']
+    trades, dead = parse_feed_b(_raw(spark, msgs))
+    assert sorted(r.trade_id for r in trades.collect()) == ["0", "1", "2", "3", "4"]
+    errors = sorted(r.error for r in dead.collect())
+    assert errors == ["invalid_time"] + ["malformed_json"] * 5  # 5, null, "x", event 7, broken text
+
+
+def test_each_message_is_parsed_once_for_both_outputs(spark):
+    parsed = parsed_feed_b(_raw(spark, ["not json"]))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 3  # message, event, trade
+    ready = parsed.persist()
+    for part in split_feed_b(ready):
+        assert "InMemoryRelation" in part._jdf.queryExecution().withCachedData().toString()
+    ready.unpersist()

@@ -3,21 +3,24 @@
 Input: a DataFrame (batch or stream) with ``value`` (message text) and
 ``received_at`` (epoch ms of arrival, the ingestion stamp). Both parsers are
 map-only (``from_json``, ``explode``), so they scale with the input and add
-no shuffle. Each returns ``(trades, dead_letters)`` from one parsed frame;
-a caller that writes both should persist it, or write both inside one
-``foreachBatch``.
+no shuffle. ``parsed_feed_a/_b`` give one frame with an ``error`` column, in
+which each message is parsed once; ``split_feed_a/_b`` cut it into ``(trades,
+dead_letters)`` by two filters. A caller that writes both persists the frame in
+between; ``parse_feed_a/_b`` do both steps.
 
 Rules (venue A): the trade object is ``data`` when the message has that key,
 else the message itself; only ``e = "trade"`` is kept; an ``M`` flag that is
-present and falsy (false, null, 0, "") drops the row, a missing one keeps it.
+present and falsy (false, null, 0, "") drops the row, a missing one and any
+other text keep it.
 Venue B: only channel ``market_trades``; events of type ``update`` or
 ``snapshot``; every trade of such an event is one row, symbols are not
 changed (``product_id`` is kept as sent).
 
 Rows that are skipped by these rules are dropped silently. Rows that fail to
 parse (broken JSON, a missing field, a price, size or time that is not valid)
-go to the dead-letter output with the whole message as payload; a bad trade
-does not take its good siblings of the same message with it.
+go to the dead-letter output with the whole message as payload; a bad event or
+trade does not take its good siblings of the same message with it. A time must
+have a date.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ from tidemark import config as C
 from tidemark.functions.columns import normalise_symbol
 
 _MAP = "map<string,string>"
-_B_SCHEMA = ("struct<channel:string,events:array<struct<type:string,trades:array<map<string,string>>>>,"
-             "_corrupt:string>")
+# nested values are kept as JSON text and parsed one by one, so that a bad
+# element does not take its siblings with it
+_B_MESSAGE = "struct<channel:string,events:array<string>,_corrupt:string>"
+_B_EVENT = "struct<type:string,trades:array<string>,_corrupt:string>"
 _B_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 ERR_JSON = "malformed_json"
@@ -52,9 +57,11 @@ def _missing(m: Column, name: str) -> Column:
     return ~F.map_contains_key(m, F.lit(name)) | m[name].isNull()
 
 
-def _truthy(v: Column) -> Column:
-    """JSON truthiness of a value rendered as text (null, false, 0, "" are falsy)."""
-    return v.isNotNull() & ~v.isin("false", "0", "0.0", "", "[]", "{}")
+def _truthy(v: Column, is_text: Column) -> Column:
+    """JSON truthiness of a value rendered as text: of texts only the empty one
+    is falsy, of literals null, false, any zero, and empty lists and objects."""
+    zero = F.coalesce(v.try_cast("double") == 0, F.lit(False))
+    return v.isNotNull() & F.when(is_text, v != "").otherwise(~v.isin("false", "[]", "{}") & ~zero)
 
 
 def _first_error(checks: list[tuple[Column, str]]) -> Column:
@@ -76,16 +83,16 @@ def _stamp(stamp_now: bool) -> Column:
     return F.unix_millis(F.current_timestamp()) if stamp_now else F.col("received_at")
 
 
-def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A,
-                 stamp_now: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Venue A messages -> (``trades_a`` rows, dead letters)."""
+def parsed_feed_a(raw: DataFrame, *, stamp_now: bool = False) -> DataFrame:
+    """Venue A messages as typed rows with ``error`` (null: a trade)."""
     df = _once(raw.select("value", "received_at"), F.from_json(F.col("value"), _MAP), "_top")
     body = F.when(F.map_contains_key(F.col("_top"), F.lit("data")), F.col("_top")["data"]).otherwise(F.col("value"))
     df = _once(df, F.when(F.col("_top").isNotNull(), F.from_json(body, _MAP)), "_d")
     d = F.col("_d")
+    text_flag = body.rlike(r'"M"\s*:\s*"')
     keep = (F.col("_top").isNull() | d.isNull()
             | ((d["e"] == C.FEED_A_EVENT)
-               & (~F.map_contains_key(d, F.lit("M")) | _truthy(d["M"]))))
+               & (~F.map_contains_key(d, F.lit("M")) | _truthy(d["M"], text_flag))))
     df = df.where(keep)
     typed = df.select(
         "value", "received_at", "_top", "_d",
@@ -103,27 +110,41 @@ def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A,
                    ("m", "is_buyer_maker")):
         checks.append((_missing(d, f) | F.col(col).isNull(), f"missing_field:{f}"))
     checks += [(F.col("price").isNull(), ERR_PRICE), (F.col("quantity").isNull(), ERR_QTY)]
-    typed = typed.withColumn("error", _first_error(checks))
-    trades = typed.where(F.col("error").isNull()).select(
+    return typed.withColumn("error", _first_error(checks)).drop("_top", "_d")
+
+
+def split_feed_a(parsed: DataFrame, *, topic: str = C.TOPIC_A) -> tuple[DataFrame, DataFrame]:
+    """``parsed_feed_a`` rows -> (``trades_a`` rows, dead letters)."""
+    trades = parsed.where(F.col("error").isNull()).select(
         "event_type", "event_time", "symbol", "trade_id", "price", "quantity", "trade_time",
         "is_buyer_maker", "ingestion_time")
-    dead = _dead(typed.where(F.col("error").isNotNull()), topic, F.col("symbol"))
-    return trades, dead
+    return trades, _dead(parsed.where(F.col("error").isNotNull()), topic, F.col("symbol"))
 
 
-def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B,
+def parse_feed_a(raw: DataFrame, *, topic: str = C.TOPIC_A,
                  stamp_now: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Venue B messages -> (``trades_b`` rows, dead letters)."""
-    df = _once(raw.select("value", "received_at"), F.from_json(F.col("value"), _B_SCHEMA, _B_OPTIONS), "_m")
-    is_broken = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
-    broken = df.where(is_broken).withColumn("error", F.lit(ERR_JSON))
-    ok = df.where(~is_broken & (F.col("_m.channel") == C.FEED_B_CHANNEL))
-    ev = (ok.select("value", "received_at", F.explode_outer("_m.events").alias("_e"))
-            .where(F.col("_e.type").isin(*C.FEED_B_EVENT_TYPES))
-            .select("value", "received_at", F.explode("_e.trades").alias("_t")))
+    """Venue A messages -> (``trades_a`` rows, dead letters)."""
+    return split_feed_a(parsed_feed_a(raw, stamp_now=stamp_now), topic=topic)
+
+
+def parsed_feed_b(raw: DataFrame, *, stamp_now: bool = False) -> DataFrame:
+    """Venue B messages as one typed row per trade with ``error`` (null: a
+    trade); a broken message, event or trade is one row with an error."""
+    df = _once(raw.select("value", "received_at"), F.from_json(F.col("value"), _B_MESSAGE, _B_OPTIONS), "_m")
+    broken = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
+    ev = (df.withColumn("_bad", broken).where(F.col("_bad") | (F.col("_m.channel") == C.FEED_B_CHANNEL))
+            .select("value", "received_at", "_bad", F.posexplode_outer(F.when(~F.col("_bad"), F.col("_m.events"))).alias("_i", "_es"))
+            .where(F.col("_bad") | F.col("_i").isNotNull()))
+    ev = _once(ev, F.when(~F.col("_bad"), F.from_json(F.col("_es"), _B_EVENT, _B_OPTIONS)), "_e")
+    not_event = F.col("_e").isNull() | F.col("_e._corrupt").isNotNull()
+    tr = (ev.withColumn("_bad", F.col("_bad") | not_event).where(F.col("_bad") | F.col("_e.type").isin(*C.FEED_B_EVENT_TYPES))
+            .select("value", "received_at", "_bad", F.posexplode_outer(F.when(~F.col("_bad"), F.col("_e.trades"))).alias("_j", "_ts"))
+            .where(F.col("_bad") | F.col("_j").isNotNull()))
+    tr = _once(tr, F.when(~F.col("_bad"), F.from_json(F.col("_ts"), _MAP)), "_t")
     t = F.col("_t")
-    ts = F.expr("try_to_timestamp(_t['time'])")
-    typed = ev.select(
+    # a time of day alone would be read as today's
+    ts = F.when(t["time"].rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]"), F.expr("try_to_timestamp(_t['time'])"))
+    typed = tr.select(
         "value", "received_at", "_t",
         t["trade_id"].alias("trade_id"),
         t["product_id"].alias("product_id"),
@@ -138,13 +159,20 @@ def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B,
     checks += [(_missing(t, "time"), "missing_field:time"),
                (F.col("price").isNull(), ERR_PRICE), (F.col("size").isNull(), ERR_QTY),
                (F.col("event_time").isNull(), ERR_TIME)]
-    typed = typed.withColumn("error", _first_error(checks))
-    trades = typed.where(F.col("error").isNull()).select(
+    return typed.withColumn("error", _first_error(checks)).drop("_t")
+
+
+def split_feed_b(parsed: DataFrame, *, topic: str = C.TOPIC_B) -> tuple[DataFrame, DataFrame]:
+    """``parsed_feed_b`` rows -> (``trades_b`` rows, dead letters)."""
+    trades = parsed.where(F.col("error").isNull()).select(
         "trade_id", "product_id", "price", "size", "side", "event_time", "ingestion_time")
-    bad = typed.where(F.col("error").isNotNull())
-    dead = _dead(bad, topic, normalise_symbol("product_id")).unionByName(
-        _dead(broken, topic, F.lit(None).cast("string")))
-    return trades, dead
+    return trades, _dead(parsed.where(F.col("error").isNotNull()), topic, normalise_symbol("product_id"))
+
+
+def parse_feed_b(raw: DataFrame, *, topic: str = C.TOPIC_B,
+                 stamp_now: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Venue B messages -> (``trades_b`` rows, dead letters)."""
+    return split_feed_b(parsed_feed_b(raw, stamp_now=stamp_now), topic=topic)
 
 
 def latency(trades_a: DataFrame | None = None, trades_b: DataFrame | None = None) -> DataFrame:

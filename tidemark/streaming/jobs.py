@@ -10,6 +10,7 @@ checkpoint holds source offsets, the commit log and operator state
 
 from __future__ import annotations
 
+import hashlib
 import os
 from contextlib import contextmanager
 
@@ -63,14 +64,19 @@ def _session_conf(spark: SparkSession, conf: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def _ckpt(df: DataFrame, checkpoint: str | None, name: str) -> str:
-    return checkpoint or os.path.join(shared_dir(df.sparkSession), "streams", name)
+def _ckpt(df: DataFrame, checkpoint: str | None, name: str, out_path: str) -> str:
+    """The given checkpoint, else one under ``spark.checkpoint.dir`` that is the
+    same at every start of the same job with the same output, so a restart resumes."""
+    if checkpoint:
+        return checkpoint
+    out = hashlib.sha256(out_path.encode()).hexdigest()[:12]
+    return os.path.join(shared_dir(df.sparkSession), "streams", f"{name}-{out}")
 
 
 def _start(rows: DataFrame, writer, checkpoint: str, name: str, trigger: dict | None,
-           state_partitions: int | None = None) -> StreamingQuery:
+           state_partitions: int | None = None, conf: dict[str, str] | None = None) -> StreamingQuery:
     spark = rows.sparkSession
-    with _session_conf(spark, stream_conf(spark, state_partitions)):
+    with _session_conf(spark, {**stream_conf(spark, state_partitions), **(conf or {})}):
         return (rows.writeStream.foreachBatch(writer)
                     .outputMode("append")
                     .option("checkpointLocation", checkpoint)
@@ -87,7 +93,7 @@ def vwap_job(trades_a: DataFrame, out_path: str, *, checkpoint: str | None = Non
     rows = vwap_rows(vwap_by_window(trades_a, window=window, interval_label=interval_label,
                                     watermark=watermark))
     return _start(rows, result_table_writer(out_path, schemas.VWAP_AGGREGATIONS),
-                  _ckpt(trades_a, checkpoint, "vwap"), "vwap", trigger)
+                  _ckpt(trades_a, checkpoint, "vwap", out_path), "vwap", trigger)
 
 
 def whale_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
@@ -96,7 +102,7 @@ def whale_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
     """Stateless union and threshold filter of both venues."""
     rows = whale_alert_rows(whale_trades(trades_a, trades_b, thresholds=thresholds, normalise=normalise))
     return _start(rows, result_table_writer(out_path, schemas.WHALE_ALERTS),
-                  _ckpt(trades_a, checkpoint, "whales"), "whales", trigger)
+                  _ckpt(trades_a, checkpoint, "whales", out_path), "whales", trigger)
 
 
 def arbitrage_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
@@ -111,12 +117,11 @@ def arbitrage_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
     the slower input's (``"min"``, default) or the faster's (``"max"``: an
     idle venue does not hold results back, its late rows are dropped). It is
     fixed in the checkpoint at the first start."""
-    if watermark_policy:
-        trades_a.sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", watermark_policy)
+    conf = {"spark.sql.streaming.multipleWatermarkPolicy": watermark_policy} if watermark_policy else {}
     rows = arbitrage_rows(arbitrage_signals(trades_a, trades_b, half_width_ms=half_width_ms,
                                             min_spread_pct=min_spread_pct, watermark=watermark))
     return _start(rows, result_table_writer(out_path, schemas.ARBITRAGE_SIGNALS),
-                  _ckpt(trades_a, checkpoint, "arbitrage"), "arbitrage", trigger)
+                  _ckpt(trades_a, checkpoint, "arbitrage", out_path), "arbitrage", trigger, conf=conf)
 
 
 def double_bottom_job(trades_a: DataFrame, out_path: str, *, checkpoint: str | None = None,
@@ -126,14 +131,14 @@ def double_bottom_job(trades_a: DataFrame, out_path: str, *, checkpoint: str | N
     rows = double_bottom_rows(stream_double_bottom(trades_a, within_ms=within_ms,
                                                    after_match=after_match, watermark=watermark))
     return _start(rows, result_table_writer(out_path, schemas.DOUBLE_BOTTOM_SIGNALS),
-                  _ckpt(trades_a, checkpoint, "double_bottom"), "double_bottom", trigger)
+                  _ckpt(trades_a, checkpoint, "double_bottom", out_path), "double_bottom", trigger)
 
 
 def lake_job(trades_a: DataFrame, trades_b: DataFrame, lake_root: str, *,
              checkpoint: str | None = None, trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """P5: both feeds appended to the raw lake tables (date partitioned),
     each with its own exactly-once file sink and checkpoint."""
-    base = _ckpt(trades_a, checkpoint, "lake")
+    base = _ckpt(trades_a, checkpoint, "lake", lake_root)
     qa = lake_writer(raw_a_projection(trades_a), os.path.join(lake_root, "binance_trades_raw"),
                      os.path.join(base, "a"), time_col="trade_time", trigger=trigger, query_name="lake_a")
     qb = lake_writer(raw_b_projection(trades_b), os.path.join(lake_root, "coinbase_trades_raw"),
@@ -144,10 +149,11 @@ def lake_job(trades_a: DataFrame, trades_b: DataFrame, lake_root: str, *,
 def ingest_job(raw: DataFrame, venue: str, out_root: str, *, checkpoint: str | None = None,
                trigger: dict | None = None) -> StreamingQuery:
     """Raw messages of one venue -> typed trades and dead letters, both
-    written from one persisted copy of each micro-batch."""
-    parse = ingest.parse_feed_a if venue == "a" else ingest.parse_feed_b
+    written from one persisted copy of each micro-batch's parsed rows."""
+    parse, split = ((ingest.parsed_feed_a, ingest.split_feed_a) if venue == "a"
+                    else (ingest.parsed_feed_b, ingest.split_feed_b))
     writer = multi_writer({
-        "trades": (lambda df: parse(df)[0], os.path.join(out_root, f"trades_{venue}")),
-        "dead_letter": (lambda df: parse(df)[1], os.path.join(out_root, f"dead_letter_{venue}")),
-    })
-    return _start(raw, writer, _ckpt(raw, checkpoint, f"ingest_{venue}"), f"ingest_{venue}", trigger)
+        "trades": (lambda rows: split(rows)[0], os.path.join(out_root, f"trades_{venue}")),
+        "dead_letter": (lambda rows: split(rows)[1], os.path.join(out_root, f"dead_letter_{venue}")),
+    }, prepare=parse)
+    return _start(raw, writer, _ckpt(raw, checkpoint, f"ingest_{venue}", out_root), f"ingest_{venue}", trigger)

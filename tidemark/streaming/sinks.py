@@ -40,17 +40,19 @@ def result_table_writer(path: str, table: ResultTable | None = None) -> Callable
     return _write
 
 
-def multi_writer(writers: dict[str, tuple[Callable[[DataFrame], DataFrame], str]]) -> Callable[[DataFrame, int], None]:
-    """K4: several outputs of one micro-batch (e.g. trades and dead letters of
-    one parsed input), computed from one persisted copy of the batch."""
+def multi_writer(writers: dict[str, tuple[Callable[[DataFrame], DataFrame], str]],
+                 prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+    """K4: several outputs of one micro-batch (e.g. trades and dead letters),
+    all derived from one persisted copy of ``prepare(batch)``, so that the
+    shared work (parsing) runs once for all of them."""
 
     def _write(df: DataFrame, batch_id: int) -> None:
-        df.persist()
+        ready = prepare(df).persist()
         try:
             for _, (derive, path) in writers.items():
-                write_batch(derive(df), batch_id, path)
+                write_batch(derive(ready), batch_id, path)
         finally:
-            df.unpersist()
+            ready.unpersist()
 
     return _write
 
