@@ -42,19 +42,25 @@ def build_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local[...]``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir``; a private folder is made only when the
-    setting is absent (local tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+    Read from ``spark.checkpoint.dir``. Only a local master may leave it unset (tests):
+    then it is a private folder of this process. On a cluster a machine-local folder
+    would be a different one on every machine, so that is an error."""
     sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc.getCheckpointDir() is None and not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
+        sc.setCheckpointDir(d or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    return d or sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
