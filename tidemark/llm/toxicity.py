@@ -5,8 +5,10 @@ one holds the strings that cover ordinary windows best. The toxic one holds the
 same strings and, besides, those that toxic text has far more often than ordinary
 text, so that both compress ordinary writing alike. A text is cut into windows of
 words; a window's gain is the length by which the toxic dictionary compresses it
-better. Each window is preceded by a line that both dictionaries end with, so that the
-fixed costs of a frame do not depend on the window.
+better. Each window stands between two copies of a line that both dictionaries end
+with, so that a frame's fixed costs do not depend on the window and its last bytes,
+where the compressor looks for no match, are not the window's. Windows are so short
+that bytes without a match are stored as they are.
 
 A document's score is a logistic calibration of how many of its windows reach each
 gain, fitted on labelled documents that did not go into the dictionaries.
@@ -34,13 +36,13 @@ from tidemark.llm.labelled import fold, labelled_sample
 
 SAMPLE_PER_CLASS = 6000  # bound of the labelled documents that a model is fitted on
 CALIBRATE_FOLDS = 3  # one in three of them calibrates, the others train the dictionaries
-WINDOW = 64  # bytes, then on to the end of the word
+WINDOW = 48  # bytes, then on to the end of the word
 ORDINARY_BYTES = 4096
 ORDINARY_WINDOWS = 40_000
 TOXIC_STRINGS = 400
-MIN_PAIRS, MIN_LIFT, MIN_G2 = 8, 10.0, 25.0
+MIN_PAIRS, MIN_LIFT, MIN_G2 = 5, 10.0, 15.0
 SHORTEST, LONGEST = 6, 12
-LINE = b"<window of ordinary text> "
+LINE = b"<window of ordinary text>"
 WORD = "[^\\x00-\\x40\\x5b-\\x60\\x7b-\\x7f]+"
 _words = re.compile(WORD.encode()).findall
 _windows = re.compile(rb"\S.{0,%d}\S* " % (WINDOW - 1)).findall
@@ -59,13 +61,13 @@ class Model:
 def windows(text: str) -> list[bytes]:
     """Lower-cased words joined by spaces, cut after at least ``WINDOW`` bytes at a word's end."""
     flat = b" ".join(_words(text.lower().encode()))
-    return [LINE + w for w in _windows(flat + b" ")] if flat else []
+    return [LINE + b" " + w + LINE for w in _windows(flat + b" ")] if flat else []
 
 
 def _compressor(content: bytes) -> zs.ZstdCompressor:
     held = zs.ZstdCompressionDict(b" " + content + LINE * 2, dict_type=zs.DICT_TYPE_RAWCONTENT)
     how = zs.ZstdCompressionParameters(
-        strategy=zs.STRATEGY_GREEDY, window_log=17, chain_log=16, hash_log=17, search_log=6, min_match=5, target_length=16,
+        strategy=zs.STRATEGY_GREEDY, window_log=17, chain_log=16, hash_log=17, search_log=6, min_match=6, target_length=16,
         write_content_size=False, write_checksum=False, write_dict_id=False)
     held.precompute_compress(compression_params=how)
     return zs.ZstdCompressor(dict_data=held, compression_params=how)
@@ -107,8 +109,8 @@ def toxic_strings(pairs: DataFrame) -> list[bytes]:
     g2 = 2 * (part(F.col("a"), F.lit(toxic)) + part(F.col("b"), F.lit(plain)))
     ranked = strings.withColumn("g", g2).where(F.col("g") >= MIN_G2).orderBy(F.desc("g"), F.desc(F.length("s")), "s").limit(4 * TOXIC_STRINGS)
     kept: list[str] = []
-    for r in ranked.collect():  # a bounded list; strings inside a stronger one add nothing
-        if not any(r["s"] in k for k in kept):
+    for r in ranked.collect():  # a bounded list; strings inside or around a stronger one add little but noise
+        if not any(r["s"] in k or k in r["s"] for k in kept):
             kept.append(r["s"])
     return [s.encode() for s in kept[:TOXIC_STRINGS]]
 
@@ -140,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     at = F.transform("w", lambda w, i: F.struct(F.when(i > 0, F.get("w", i - 1)).otherwise("").alias("before"), w.alias("word")))
     strings = toxic_strings(cut.select("y", F.inline(at)).distinct())
     seen = trains.where("y = 0").select("text").orderBy(F.xxhash64("text")).limit(2000).toPandas()["text"]  # bounded by the sample
-    some = [w[len(LINE):] for t in seen for w in windows(t)[:400]][:ORDINARY_WINDOWS]
+    some = [w[len(LINE):-len(LINE)] for t in seen for w in windows(t)[:400]][:ORDINARY_WINDOWS]
     try:
         base = zs.train_dictionary(ORDINARY_BYTES, some).as_bytes()
     except zs.ZstdError:  # too little text to train on: the text itself
