@@ -1,0 +1,37 @@
+"""Narrow scans and registry frames."""
+
+import os
+
+import pytest
+from conftest import ms
+from pyspark.sql import functions as F
+from rows import trades_a, trades_b
+
+from tidemark.sources import feeds
+from tidemark.streaming import jobs
+
+T0 = ms("2024-01-01 00:00:00")
+
+
+def test_jobs_run_on_narrow_inputs(spark, tmp_dir):
+    pa, pb = os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")
+    trades_a(spark, [("BTCUSDT", T0 + i * 1000, i, 100 + i, 6) for i in range(3)]).write.parquet(pa)
+    trades_b(spark, [("BTC-USD", T0, 1, 90, 6)]).write.parquet(pb)
+    for name, run in (("whales", jobs.whale_job), ("arbitrage", jobs.arbitrage_job)):
+        a, b = jobs.INPUT_COLUMNS[name]
+        sa = feeds.read_trades_a(spark, pa, stream=True, columns=a)
+        assert set(sa.columns) == set(a)
+        run(sa, feeds.read_trades_b(spark, pb, stream=True, columns=b), os.path.join(tmp_dir, name), checkpoint=os.path.join(tmp_dir, name + "-ck"),
+            trigger={"availableNow": True}).awaitTermination()
+        assert spark.read.parquet(os.path.join(tmp_dir, name)).count() == 3
+
+
+def test_registry_frame(spark):
+    frame = lambda i, body: bytes([0]) + i.to_bytes(4, "big") + body
+    df = spark.createDataFrame([(frame(7, b"abc"),), (frame(7, b""),), (None,)], "value binary")
+    got = [r[0] for r in df.select(feeds.avro_body(F.col("value"), 7)).collect()]
+    assert [None if g is None else bytes(g) for g in got] == [b"abc", b"", None]
+    for bad in (frame(8, b"abc"), b"\x01" + frame(7, b"abc")[1:]):
+        with pytest.raises(Exception, match="not a frame of the given schema"):
+            spark.createDataFrame([(bad,)], "value binary").select(feeds.avro_body(F.col("value"), 7)).collect()
+    assert bytes(spark.createDataFrame([(frame(8, b"x"),)], "value binary").select(feeds.avro_body(F.col("value"))).first()[0]) == b"x"

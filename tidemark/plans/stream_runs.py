@@ -65,14 +65,17 @@ def staged_input(spark: SparkSession, sf_dir: str, feed: str) -> str:
     return path
 
 
-def _staged(spark: SparkSession, sf_dir: str, root: str, venues: str = "ab"):
+def _staged(spark: SparkSession, sf_dir: str, job: str | None = None):
+    """Both staged feeds as streams, narrowed to the columns that ``job`` reads
+    (all columns and both feeds without a job)."""
+    cols_a, cols_b = jobs.INPUT_COLUMNS.get(job, (None, None))
     sa = sb = None
-    if "a" in venues:
+    if cols_a is None or cols_a:
         sa = feeds.read_trades_a(spark, staged_input(spark, sf_dir, "trades_a"), stream=True,
-                                 max_files_per_trigger=1)
-    if "b" in venues:
+                                 max_files_per_trigger=1, columns=cols_a)
+    if cols_b is None or cols_b:
         sb = feeds.read_trades_b(spark, staged_input(spark, sf_dir, "trades_b"), stream=True,
-                                 max_files_per_trigger=1)
+                                 max_files_per_trigger=1, columns=cols_b)
     return sa, sb
 
 
@@ -82,7 +85,7 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 def run_vwap(spark: SparkSession, sf_dir: str, *, window: str, label: str) -> DataFrame:
     root = scratch_path(spark, "stream-vwap")
-    sa, _ = _staged(spark, sf_dir, root, "a")
+    sa, _ = _staged(spark, sf_dir, "vwap")
     q = jobs.vwap_job(sa, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                       window=window, interval_label=label, trigger=RUN_ONCE)
     q.awaitTermination()
@@ -91,7 +94,7 @@ def run_vwap(spark: SparkSession, sf_dir: str, *, window: str, label: str) -> Da
 
 def run_whales(spark: SparkSession, sf_dir: str, *, normalise: bool = False) -> DataFrame:
     root = scratch_path(spark, "stream-whales")
-    sa, sb = _staged(spark, sf_dir, root)
+    sa, sb = _staged(spark, sf_dir, "whales")
     q = jobs.whale_job(sa, sb, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                        normalise=normalise, trigger=RUN_ONCE)
     q.awaitTermination()
@@ -100,7 +103,7 @@ def run_whales(spark: SparkSession, sf_dir: str, *, normalise: bool = False) ->
 
 def run_arbitrage(spark: SparkSession, sf_dir: str, *, half_width_ms: int) -> DataFrame:
     root = scratch_path(spark, "stream-arbitrage")
-    sa, sb = _staged(spark, sf_dir, root)
+    sa, sb = _staged(spark, sf_dir, "arbitrage")
     q = jobs.arbitrage_job(sa, sb, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                            half_width_ms=half_width_ms, trigger=RUN_ONCE)
     q.awaitTermination()
@@ -110,7 +113,7 @@ def run_arbitrage(spark: SparkSession, sf_dir: str, *, half_width_ms: int) -> Da
 def run_double_bottom(spark: SparkSession, sf_dir: str, *, within_ms: int,
                       after_match: str = "past_last_row") -> DataFrame:
     root = scratch_path(spark, "stream-double-bottom")
-    sa, _ = _staged(spark, sf_dir, root, "a")
+    sa, _ = _staged(spark, sf_dir, "double_bottom")
     q = jobs.double_bottom_job(sa, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                                within_ms=within_ms, after_match=after_match, trigger=RUN_ONCE)
     q.awaitTermination()
@@ -119,7 +122,7 @@ def run_double_bottom(spark: SparkSession, sf_dir: str, *, within_ms: int,
 
 def run_lake(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     root = scratch_path(spark, "stream-lake")
-    sa, sb = _staged(spark, sf_dir, root)
+    sa, sb = _staged(spark, sf_dir)
     qa, qb = jobs.lake_job(sa, sb, os.path.join(root, "lake"), checkpoint=os.path.join(root, "ckpt"),
                            trigger=RUN_ONCE)
     qa.awaitTermination()

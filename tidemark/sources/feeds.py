@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,16 +61,29 @@ def read_raw(spark: SparkSession, path: str, *, stream: bool = False, fmt: str =
                       max_files_per_trigger=max_files_per_trigger)
 
 
+def avro_body(value: Column, schema_id: int | None = None) -> Column:
+    """The Avro record of a registry frame: a zero byte, a big-endian 4-byte
+    schema id, the record. With ``schema_id``, a frame of another writer schema is an
+    error instead of being decoded with the wrong one; null stays null."""
+    body = F.substring(value, F.lit(6), F.length(value) - 5)
+    framed = F.hex(F.substring(value, F.lit(1), F.lit(1))) == "00"
+    if schema_id is not None:
+        framed = framed & (F.conv(F.hex(F.substring(value, F.lit(2), F.lit(4))), 16, 10).cast("long") == schema_id)
+    wrong = F.raise_error(F.concat(F.lit("not a frame of the given schema: "), F.hex(F.substring(value, F.lit(1), F.lit(5)))))
+    return F.when(value.isNull(), F.lit(None)).when(framed, body).otherwise(wrong.cast("binary"))
+
+
 def read_kafka(spark: SparkSession, bootstrap: str, topic: str, *, stream: bool = True,
                starting_offsets: str = "latest", decode: str = "json",
-               avro_schema: str | None = None, options: dict | None = None) -> DataFrame:
+               avro_schema: str | None = None, avro_schema_id: int | None = None, options: dict | None = None) -> DataFrame:
     """S1/S2/S4/S5 from a Kafka topic. ``starting_offsets="latest"`` matches a
     job that only sees messages after its first start; the checkpoint then
     keeps the position (it replaces a consumer group).
 
     ``decode="json"`` returns ``value`` (text) and ``received_at`` (broker
     timestamp, ms) for ``operators.ingest``; ``decode="avro"`` returns the
-    decoded record's columns."""
+    decoded record's columns (``avro_schema_id``: the registry's id of
+    ``avro_schema``, checked on every frame)."""
     r = spark.readStream if stream else spark.read
     r = (r.format("kafka").option("kafka.bootstrap.servers", bootstrap)
           .option("subscribe", topic).option("startingOffsets", starting_offsets))
@@ -84,6 +97,5 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str, *, stream: bool
         from pyspark.sql.avro.functions import from_avro  # needs the spark-avro module
         if not avro_schema:
             raise ValueError("decode='avro' needs avro_schema (the record's JSON schema)")
-        body = F.expr("substring(value, 6, length(value) - 5)")
-        return df.select(from_avro(body, avro_schema).alias("r")).select("r.*")
+        return df.select(from_avro(avro_body(F.col("value"), avro_schema_id), avro_schema).alias("r")).select("r.*")
     raise ValueError(f"unknown decode {decode!r}")

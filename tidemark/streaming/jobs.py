@@ -29,6 +29,15 @@ from tidemark.sources.lake import raw_a_projection, raw_b_projection
 from tidemark.streaming.double_bottom_state import stream_double_bottom
 from tidemark.streaming.sinks import lake_writer, multi_writer, result_table_writer
 
+#: Columns that each job reads of its inputs (venue A, venue B); sources are
+#: narrowed to them (``feeds.read_trades_a(..., columns=)``).
+INPUT_COLUMNS = {
+    "vwap": (("symbol", "price", "quantity", "trade_time"), ()),
+    "whales": (("symbol", "price", "quantity", "trade_time", "is_buyer_maker"), ("product_id", "price", "size", "side", "event_time")),
+    "arbitrage": (("symbol", "price", "trade_time"), ("product_id", "price", "event_time")),
+    "double_bottom": (("symbol", "trade_id", "price", "trade_time"), ()),
+}
+
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
