@@ -24,6 +24,10 @@ def test_jobs_run_on_narrow_inputs(spark, tmp_dir):
         run(sa, feeds.read_trades_b(spark, pb, stream=True, columns=b), os.path.join(tmp_dir, name), checkpoint=os.path.join(tmp_dir, name + "-ck"),
             trigger={"availableNow": True}).awaitTermination()
         assert spark.read.parquet(os.path.join(tmp_dir, name)).count() == 3
+    for name, run in (("vwap", jobs.vwap_job), ("double_bottom", jobs.double_bottom_job)):
+        a, _ = jobs.INPUT_COLUMNS[name]
+        run(feeds.read_trades_a(spark, pa, stream=True, columns=a), os.path.join(tmp_dir, name), checkpoint=os.path.join(tmp_dir, name + "-ck"),
+            trigger={"availableNow": True}).awaitTermination()
 
 
 def test_registry_frame(spark):

@@ -13,11 +13,12 @@ def test_create_tables_idempotent_and_bound_read(spark, tmp_dir):
     tables = {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()}
     assert {"binance_trades_raw", "coinbase_trades_raw", "vwap_aggregations", "whale_alerts",
             "arbitrage_signals", "double_bottom_signals", "recon_results"} <= tables
-    # columns: the table's own, then seq, then the partition column batch_id
+    # columns: the table's own, then the partition columns event_date and batch_id
     spark.sql(f"INSERT INTO {db}.vwap_aggregations VALUES ('BTCUSDT', TIMESTAMP'2024-01-01 16:00:00', "
-              f"TIMESTAMP'2024-01-01 16:05:00', 1.0, 1.0, 1, '5m', 1, 0, 1)")
+              f"TIMESTAMP'2024-01-01 16:05:00', 1.0, 1.0, 1, '5m', 1, DATE'2024-01-01', 1)")
     got = lake.read_result_range(spark, f"{db}.vwap_aggregations", datetime(2024, 1, 1, 16), datetime(2024, 1, 1, 17))
     assert got.count() == 1
+    assert "PartitionFilters: [isnotnull(event_date" in got._jdf.queryExecution().executedPlan().toString()
     spark.sql(f"INSERT INTO {db}.binance_trades_raw VALUES ('BTCUSDT', 1.0, 2.0, 1704124800000, true, 1704124800005, DATE'2024-01-01')")
     r = lake.read_raw_range(spark, f"{db}.binance_trades_raw", "trade_time", 1704124800000, 1704124800001)
     plan = r._jdf.queryExecution().executedPlan().toString()

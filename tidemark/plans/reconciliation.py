@@ -55,10 +55,11 @@ def run_hourly_reconciliation(spark: SparkSession, *, lake_raw_a: str, vwap_resu
         now = now.astimezone(timezone.utc).replace(tzinfo=None)
     start, end = last_completed_hour(now)
     batch = batch_vwap_range(read_lake_range(spark, lake_raw_a, "trade_time", start, end))
-    vwap = current_rows(spark, vwap_results, schemas.VWAP_AGGREGATIONS)
+    vwap = current_rows(spark, vwap_results, schemas.VWAP_AGGREGATIONS, start, end)
     stream = streaming_vwap_range(vwap, start, end, weighted=weighted)
     results, missing = reconcile(batch, stream, run_time=now, window_start=start, window_end=end,
                                  tolerance_pct=tolerance_pct)
     if out_path:
-        write_batch(results, int(now.replace(tzinfo=timezone.utc).timestamp()), out_path)
+        write_batch(results, int(now.replace(tzinfo=timezone.utc).timestamp()), out_path,
+                    schemas.RECON_RESULTS.time)
     return results, missing

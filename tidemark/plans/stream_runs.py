@@ -80,7 +80,7 @@ def _staged(spark: SparkSession, sf_dir: str, job: str | None = None):
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id", "seq")
+    return spark.read.parquet(path).drop("batch_id", "event_date")
 
 
 def run_vwap(spark: SparkSession, sf_dir: str, *, window: str, label: str) -> DataFrame:

@@ -67,11 +67,13 @@ RAW_MESSAGES = T.StructType([
 @dataclass(frozen=True)
 class ResultTable:
     """A keyed result table: rows are appended; the highest ``version`` per
-    ``key`` (ties: the later ``batch_id``, then ``seq``) is the current row."""
+    ``key`` (ties: the later ``batch_id``, then the other columns) is the current
+    row. ``time`` is the key's time column; its date is a partition."""
 
     name: str
     schema: T.StructType
     key: tuple[str, ...]
+    time: str
     version: str = "version"
 
 
@@ -84,27 +86,27 @@ S, D, L, TS = T.StringType(), T.DoubleType(), T.LongType(), T.TimestampType()
 VWAP_AGGREGATIONS = ResultTable("vwap_aggregations", _s(
     ("symbol", S), ("window_start", TS), ("window_end", TS), ("vwap", D),
     ("total_volume", D), ("trade_count", L), ("interval_label", S), ("version", L)),
-    key=("symbol", "window_start", "interval_label"))
+    key=("symbol", "window_start", "interval_label"), time="window_start")
 
 WHALE_ALERTS = ResultTable("whale_alerts", _s(
     ("symbol", S), ("price", D), ("quantity", D), ("trade_value", D), ("exchange", S),
     ("side", S), ("event_time", TS), ("version", L)),
-    key=("symbol", "event_time"))
+    key=("symbol", "event_time"), time="event_time")
 
 ARBITRAGE_SIGNALS = ResultTable("arbitrage_signals", _s(
     ("symbol", S), ("binance_price", D), ("coinbase_price", D), ("spread", D),
     ("spread_pct", D), ("direction", S), ("event_time", TS), ("version", L)),
-    key=("symbol", "event_time"))
+    key=("symbol", "event_time"), time="event_time")
 
 DOUBLE_BOTTOM_SIGNALS = ResultTable("double_bottom_signals", _s(
     ("symbol", S), ("first_dip", D), ("second_dip", D), ("peak_price", D),
     ("breakout_price", D), ("confirmed_at", TS), ("version", L)),
-    key=("symbol", "confirmed_at"))
+    key=("symbol", "confirmed_at"), time="confirmed_at")
 
 RECON_RESULTS = ResultTable("recon_results", _s(
     ("run_time", TS), ("window_start", TS), ("window_end", TS), ("symbol", S),
     ("streaming_vwap", D), ("batch_vwap", D), ("diff_pct", D), ("status", S), ("version", L)),
-    key=("symbol", "window_start", "run_time"))
+    key=("symbol", "window_start", "run_time"), time="window_start")
 
 RESULT_TABLES = {t.name: t for t in (
     VWAP_AGGREGATIONS, WHALE_ALERTS, ARBITRAGE_SIGNALS, DOUBLE_BOTTOM_SIGNALS, RECON_RESULTS)}

@@ -58,12 +58,12 @@ def create_lake_tables(spark: SparkSession, db: str = LAKE_DB, root: str | None
 
 def create_result_tables(spark: SparkSession, db: str = LAKE_DB, root: str | None = None) -> None:
     """Idempotent creation of the keyed result tables (append form: each
-    row also carries ``batch_id`` and ``seq`` for the latest-by-key view)."""
+    row also carries ``batch_id`` for the latest-by-key view and its date)."""
     create_database(spark, db)
     for t in schemas.RESULT_TABLES.values():
         loc = f" LOCATION '{root}/{t.name}'" if root else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t.name} ({_ddl(t.schema)}, batch_id bigint, seq bigint) "
-                  f"USING parquet PARTITIONED BY (batch_id){loc}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t.name} ({_ddl(t.schema)}, event_date date, batch_id bigint) "
+                  f"USING parquet PARTITIONED BY (event_date, batch_id){loc}")
 
 
 def read_raw_range(spark: SparkSession, table: str, time_col: str, start_ms: int, end_ms: int) -> DataFrame:
@@ -79,5 +79,6 @@ def read_raw_range(spark: SparkSession, table: str, time_col: str, start_ms: int
 def read_result_range(spark: SparkSession, table: str, start, end) -> DataFrame:
     """Result rows of a time range with bound parameters (no text splicing)."""
     return spark.sql(
-        f"SELECT * FROM {table} WHERE window_start >= :start AND window_end <= :end",
+        f"SELECT * FROM {table} WHERE event_date >= to_date(:start) AND event_date <= to_date(:end) "
+        "AND window_start >= :start AND window_end <= :end",
         args={"start": start, "end": end})

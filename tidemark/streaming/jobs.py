@@ -32,7 +32,7 @@ from tidemark.streaming.sinks import lake_writer, multi_writer, result_table_wri
 #: Columns that each job reads of its inputs (venue A, venue B); sources are
 #: narrowed to them (``feeds.read_trades_a(..., columns=)``).
 INPUT_COLUMNS = {
-    "vwap": (("symbol", "price", "quantity", "trade_time"), ()),
+    "vwap": (("symbol", "trade_id", "price", "quantity", "trade_time"), ()),
     "whales": (("symbol", "price", "quantity", "trade_time", "is_buyer_maker"), ("product_id", "price", "size", "side", "event_time")),
     "arbitrage": (("symbol", "price", "trade_time"), ("product_id", "price", "event_time")),
     "double_bottom": (("symbol", "trade_id", "price", "trade_time"), ()),

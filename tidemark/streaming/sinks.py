@@ -1,12 +1,13 @@
 """Sinks for the streaming jobs (K1-K6).
 
-Result tables are append-only Parquet folders partitioned by ``batch_id``.
-``foreachBatch`` writes one micro-batch with dynamic partition overwrite, so a
-batch replayed after a failure replaces its own partition instead of adding
-duplicates (exactly-once together with the checkpoint). A failed write fails
-the batch, and the query retries it from the checkpoint; no row is dropped.
-Readers use ``current_rows`` (the latest-by-key view) or ``compact`` (rewrite
-a table to that view).
+Result tables are append-only Parquet folders partitioned by ``event_date`` (the
+date of the table's time column) and ``batch_id``. ``foreachBatch`` writes one
+micro-batch with dynamic partition overwrite, so a batch replayed after a
+failure replaces its own partitions instead of adding duplicates (exactly-once
+together with the checkpoint). A failed write fails the batch, and the query
+retries it from the checkpoint; no row is dropped. Readers use ``current_rows``
+(the latest-by-key view, for a time range if given); ``compact`` replaces
+the closed dates of a table by that view.
 """
 
 from __future__ import annotations
@@ -18,15 +19,21 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_by_key
 from tidemark.schemas import ResultTable
-
-
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """K1/K2/K5: bulk append of one batch, idempotent per ``batch_id``."""
-    out = (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-             .withColumn("seq", F.monotonically_increasing_id()))
+from tidemark.session import delete_path, materialize
+
+
+def write_batch(df: DataFrame, batch_id: int, path: str, time_col: str | None = None) -> None:
+    """K1/K2/K5: bulk append of one batch, idempotent per ``batch_id`` (a batch
+    is a fixed set of rows, so a replay has the same dates). With ``time_col`` rows are
+    also partitioned by its date."""
+    out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    parts = ["batch_id"]
+    if time_col:
+        out = out.withColumn("event_date", F.to_date(time_col))
+        parts = ["event_date", "batch_id"]
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy(*parts)
         .parquet(path))
 
 
@@ -35,7 +42,10 @@ def result_table_writer(path: str, table: ResultTable | None = None) -> Callable
     cols = [f.name for f in table.schema.fields] if table else None
 
     def _write(df: DataFrame, batch_id: int) -> None:
-        write_batch(df.select(*cols) if cols else df, batch_id, path)
+        if table:
+            write_batch(df.select(*cols), batch_id, path, table.time)
+        else:
+            write_batch(df, batch_id, path)
 
     return _write
 
@@ -57,20 +67,44 @@ def multi_writer(writers: dict[str, tuple[Callable[[DataFrame], DataFrame], str]
     return _write
 
 
-def current_rows(spark: SparkSession, path: str, table: ResultTable) -> DataFrame:
+def stored_rows(spark: SparkSession, path: str, table: ResultTable, start=None, end=None) -> DataFrame:
+    """All versions in a table with ``start <= time < end``: dates prune
+    partitions, the times are pushed into the scan."""
+    rows = spark.read.parquet(path)
+    time = F.col(table.time)
+    if start is not None:
+        rows = rows.where((F.col("event_date") >= F.to_date(F.lit(start).cast("timestamp"))) & (time >= F.lit(start).cast("timestamp")))
+    if end is not None:
+        rows = rows.where((F.col("event_date") <= F.to_date(F.lit(end).cast("timestamp"))) & (time < F.lit(end).cast("timestamp")))
+    return rows
+
+
+def current_rows(spark: SparkSession, path: str, table: ResultTable, start=None, end=None) -> DataFrame:
     """K6 read side: the current row per key (highest version; ties go to the
-    later batch, then the later row)."""
-    return latest_by_key(spark.read.parquet(path), table.key, version=table.version,
-                         tiebreak=("batch_id", "seq")).drop("batch_id", "seq")
-
-
-def compact(spark: SparkSession, path: str, table: ResultTable, out_path: str) -> DataFrame:
-    """K6 merge: write the latest-by-key view of a table as a new table."""
-    rows = current_rows(spark, path, table)
-    (rows.withColumn("batch_id", F.lit(0).cast("long"))
-         .withColumn("seq", F.monotonically_increasing_id())
-         .write.mode("overwrite").partitionBy("batch_id").parquet(out_path))
-    return spark.read.parquet(out_path)
+    later batch, then the other columns), of a time range if given. The time is
+    part of the key, so the range is cut before the versions are compared."""
+    return latest_by_key(stored_rows(spark, path, table, start, end), table.key, version=table.version,
+                         tiebreak=("batch_id",)).drop("batch_id", "event_date")
+
+
+def compact(spark: SparkSession, path: str, table: ResultTable, before) -> None:
+    """K6 merge: replace the rows of all dates before the date ``before`` (closed
+    dates: no job writes to them any more) by their latest-by-key view.
+
+    The view keeps the batch id of each row, so its partitions overwrite their
+    own older content and the other partitions of those dates become empty of
+    current rows; those are removed last. A run that stops half-way leaves
+    superseded rows at most, which the view ignores; a second run finishes it."""
+    closed = F.col("event_date") < F.lit(before).cast("date")
+    stored = spark.read.parquet(path).where(closed)
+    view = latest_by_key(stored, table.key, version=table.version, tiebreak=("batch_id",))
+    kept = materialize(view, "compacted")  # read from its own copy while the table changes
+    had = {(str(r[0]), r[1]) for r in stored.select("event_date", "batch_id").distinct().collect()}  # one entry per partition
+    has = {(str(r[0]), r[1]) for r in kept.select("event_date", "batch_id").distinct().collect()}
+    (kept.select(*[f.name for f in table.schema.fields], "event_date", "batch_id").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id").parquet(path))
+    for date, batch in sorted(had - has):
+        delete_path(spark, f"{path}/event_date={date}/batch_id={batch}")
 
 
 def lake_writer(df: DataFrame, path: str, checkpoint: str, *, time_col: str,
