@@ -1,8 +1,8 @@
 """Run the streaming jobs over feeds derived from the given tables.
 
 The derived trades are staged once as time-ordered Parquet files under the
-shared folder (one file per time chunk, written oldest first), then each job reads
-them as a file stream, one file per micro-batch, runs to completion
+shared folder (range-partitioned, a few files per micro-batch), then each job reads
+them as a file stream, a fixed number of files per micro-batch, runs to completion
 (``availableNow``) and its sink is read back. Streaming results equal the
 batch results minus what the final watermark has not closed yet.
 """
@@ -16,33 +16,33 @@ from pyspark.sql import functions as F
 
 import hashlib
 
-from tidemark.session import path_exists, path_signature, scratch_path, shared_dir
+from tidemark.session import data_files, path_exists, path_signature, scratch_path, set_modified, shared_dir
 from tidemark.sources import feeds, testfeeds
 from tidemark.streaming import jobs
 
-CHUNK_MS = 3 * 86_400_000
+BATCHES = 10  # micro-batches that a staged feed is read in
+FILES_PER_TRIGGER = 4
 RUN_ONCE = {"availableNow": True}
 
 
-def stage_chunks(df: DataFrame, time_col: str, path: str, chunk_ms: int = CHUNK_MS) -> str:
-    """Write ``df`` as one file per time chunk, oldest chunk first, so a file
-    stream with one file per trigger sees event time advance batch by batch.
-    Only the chunk ids (a few integers) reach the driver."""
-    c = F.floor(F.col(time_col) / chunk_ms)
-    df = df.persist()
-    try:
-        ids = sorted(r[0] for r in df.select(c.alias("c")).distinct().collect())
-        for i in ids:
-            df.where(c == i).coalesce(1).write.mode("append").parquet(path)
-    finally:
-        df.unpersist()
+def stage_in_time_order(df: DataFrame, time_col: str, path: str, batches: int = BATCHES, files: int = FILES_PER_TRIGGER) -> str:
+    """Write ``df`` in one range-partitioned job as ``batches * files`` files, each
+    a span of time, and give the files of each span of ``files`` a common modification
+    time, rising with time: a file stream that takes ``files`` files per trigger then
+    sees event time advance batch by batch, whatever the size of the feed."""
+    spark = df.sparkSession
+    df.repartitionByRange(batches * files, time_col).write.parquet(path)
+    staged = data_files(spark, path)  # part numbers rise with time
+    newest = max((f[2] for f in staged), default=0)
+    for k, (name, _, _) in enumerate(staged):
+        set_modified(spark, name, newest - 1000 * (batches - k // files))
     return path
 
 
 def staged_input(spark: SparkSession, sf_dir: str, feed: str) -> str:
     """The staged copy of one derived feed (``trades_a``, ``trades_b``,
-    ``raw_a``, ``raw_b``), written once per input (path, modification time,
-    length) and derivation version and reused by later runs. The marker (a one-line table naming the
+    ``raw_a``, ``raw_b``), written once per input (its list of data files) and
+    derivation version and reused by later runs. The marker (a one-line table naming the
     data folder) is written last, so a half-written copy is never used."""
     src = f"{sf_dir}/events.parquet"
     sig = f"{src}|{path_signature(spark, src)}|{testfeeds.DERIVATION_VERSION}"
@@ -60,7 +60,7 @@ def staged_input(spark: SparkSession, sf_dir: str, feed: str) -> str:
         col = "received_at"
     else:
         raise ValueError(f"unknown feed {feed!r}")
-    path = stage_chunks(df, col, scratch_path(spark, os.path.join("staged-feeds", key, feed)))
+    path = stage_in_time_order(df, col, scratch_path(spark, os.path.join("staged-feeds", key, feed)))
     spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(marker)
     return path
 
@@ -72,10 +72,10 @@ def _staged(spark: SparkSession, sf_dir: str, job: str | None = None):
     sa = sb = None
     if cols_a is None or cols_a:
         sa = feeds.read_trades_a(spark, staged_input(spark, sf_dir, "trades_a"), stream=True,
-                                 max_files_per_trigger=1, columns=cols_a)
+                                 max_files_per_trigger=FILES_PER_TRIGGER, columns=cols_a)
     if cols_b is None or cols_b:
         sb = feeds.read_trades_b(spark, staged_input(spark, sf_dir, "trades_b"), stream=True,
-                                 max_files_per_trigger=1, columns=cols_b)
+                                 max_files_per_trigger=FILES_PER_TRIGGER, columns=cols_b)
     return sa, sb
 
 
@@ -134,7 +134,7 @@ def run_lake(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def run_ingest(spark: SparkSession, sf_dir: str, venue: str) -> tuple[DataFrame, DataFrame]:
     root = scratch_path(spark, f"stream-ingest-{venue}")
     src = feeds.read_raw(spark, staged_input(spark, sf_dir, f"raw_{venue}"), stream=True,
-                         max_files_per_trigger=1)
+                         max_files_per_trigger=FILES_PER_TRIGGER)
     q = jobs.ingest_job(src, venue, os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"),
                         trigger=RUN_ONCE)
     q.awaitTermination()

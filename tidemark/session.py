@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -80,12 +81,26 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of the data files of a file or folder, in
+    path order (any Hadoop file system; hidden files are left out)."""
+    fs, p = _fs(spark, path)
+    found, each = [], fs.listFiles(p, True)
+    while each.hasNext():
+        st = each.next()
+        if not st.getPath().getName().startswith(("_", ".")):
+            found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(found)
+
+
 def path_signature(spark: SparkSession, path: str) -> str:
-    """Modification time and length of a file or folder (any Hadoop file
-    system), to key derived copies of an input."""
+    """Digest of the list of data files of an input, to key derived copies of it."""
+    return hashlib.sha256(repr(data_files(spark, path)).encode()).hexdigest()
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     fs, p = _fs(spark, path)
-    st = fs.getFileStatus(p)
-    return f"{st.getModificationTime()}:{st.getLen()}"
+    fs.setTimes(p, millis, -1)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
