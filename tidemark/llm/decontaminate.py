@@ -24,14 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.session import materialize
 
 WINDOW = 5
 LITERALS = 3
 COVERAGE = 0.6
 BITMAP_BITS = 24
-MEMO = 400_000
+MEMO = 200_000
 
 NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
@@ -124,7 +124,7 @@ def _windows(rows: DataFrame, key: str, bitmap: np.ndarray | None) -> DataFrame:
                                   names=[key, "position", "hash", "slots"])
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key, "text").mapInArrow(cut, f"{key} {kind}, position int, hash long, slots array<string>")
+    return small_batches(rows).select(key, "text").mapInArrow(cut, f"{key} {kind}, position int, hash long, slots array<string>")
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.session import materialize
 
 
@@ -31,5 +31,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     if len(n) == 2:
         shift = math.log(n[1] / n[0]) - math.log(min(n[1], per_class) / min(n[0], per_class))
     ids = materialize(picked[0].unionByName(picked[1]), "sampled-ids")
-    rows = docs.select("doc_id", whole_text().alias("text")).join(ids, "doc_id")
+    rows = small_batches(docs).select("doc_id", whole_text().alias("text")).join(ids, "doc_id")
     return materialize(rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "sampled-documents"), shift

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import tokenizer
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.session import materialize
 
 CAPACITY = 2048
@@ -55,7 +55,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
             yield pa.record_batch([b.column(0).take(pa.array(of, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                                    pa.array(length, pa.int64()), pa.array(ids, pa.binary())], names=schema.names)
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(cut, schema)
+    return small_batches(docs).select("doc_id", whole_text().alias("text")).mapInArrow(cut, schema)
 
 
 def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:

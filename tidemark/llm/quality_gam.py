@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.llm.labelled import fold, labelled_sample
 
 SAMPLE_PER_CLASS = 8000  # bound of the labelled documents that a model is fitted on
@@ -193,6 +193,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fo
         for b in batches:
             yield pa.record_batch([b.column(0), pa.array(1 / (1 + np.exp(-model.logit(_feature_rows(b.column(1))))))], names=schema.names)
 
-    out = docs.select("doc_id", whole_text().alias("text")).mapInArrow(judge, schema)
+    out = small_batches(docs).select("doc_id", whole_text().alias("text")).mapInArrow(judge, schema)
     return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.session import materialize
 
 LENGTH = 200
@@ -147,7 +147,7 @@ def distinct_texts(docs: DataFrame) -> tuple[DataFrame, str]:
     """(digest, body, copies) of the distinct texts, stored in buckets by digest so
     that later joins do not move the texts again."""
     spark = docs.sparkSession
-    rows = docs.select(F.encode(whole_text(), "utf-8").alias("body")).withColumn("digest", F.unhex(F.sha2("body", 256)))
+    rows = small_batches(docs).select(F.encode(whole_text(), "utf-8").alias("body")).withColumn("digest", F.unhex(F.sha2("body", 256)))
     texts = rows.groupBy("digest").agg(F.first("body").alias("body"), F.count("*").alias("copies"))
     name = "repeats_" + uuid.uuid4().hex[:12]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))

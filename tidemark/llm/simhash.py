@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.llm.components import connected_components
 from tidemark.session import materialize
 
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
             got = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.record_batch([b.column(0), pa.array(got)], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(scan, schema)
+    return small_batches(docs).select("doc_id", whole_text().alias("text")).mapInArrow(scan, schema)
 
 
 def segments(distance: int) -> list[tuple[int, int]]:

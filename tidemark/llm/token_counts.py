@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokenizer
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.session import path_exists, scratch_path
 
 CACHE_COLUMNS = "tokenizer_digest string, digest string, n_tokens long"
@@ -33,7 +33,7 @@ def fill_cache(docs: DataFrame, tokenizer_path: str, cache_path: str) -> None:
     """Append the counts of the distinct texts of ``docs`` that the cache lacks."""
     spark = docs.sparkSession
     version = tokenizer.file_digest(tokenizer_path)
-    texts = docs.select(whole_text().alias("content")).withColumn("digest", F.sha2("content", 256))
+    texts = small_batches(docs).select(whole_text().alias("content")).withColumn("digest", F.sha2("content", 256))
     if path_exists(spark, cache_path):
         texts = texts.join(_cached(spark, cache_path, version), "digest", "left_anti")
     misses = texts.dropDuplicates(["digest"]).select("digest", "content")

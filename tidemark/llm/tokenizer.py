@@ -61,7 +61,7 @@ class _Memo(dict):
 class Tokenizer:
     """``count(text)`` and ``ids(text)`` (little-endian uint32 bytes)."""
 
-    def __init__(self, path: str, memo: int = 700_000):
+    def __init__(self, path: str, memo: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import small_batches, whole_text
 from tidemark.llm.labelled import fold, labelled_sample
 
 
@@ -182,7 +182,7 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
             yield pa.record_batch([*b.columns[:-1], pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30)))), pa.array([len(g) for g in of], pa.int32()),
                                    pa.array([int(g.max()) for g in of], pa.int32())], names=schema.names)
 
-    return docs.select(*carry, whole_text().alias("__text")).mapInArrow(judge, schema)
+    return small_batches(docs).select(*carry, whole_text().alias("__text")).mapInArrow(judge, schema)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, folds: int = 5, held_out: int = 0) -> DataFrame:
