@@ -109,6 +109,20 @@ def test_slots_must_be_consistent(docs_of, spark):
     assert got[1] == got[3] > got[2]
 
 
+def test_copy_beside_a_variant(docs_of, spark):
+    """Values are chosen at each place where the item stands, not mixed over all of them."""
+    item = "Add 12 apples to 30 pears and 7 plums then take 4 figs from 19 dates"
+    values = lambda *v: "Add {} apples to {} pears and {} plums then take {} figs from {} dates".format(*v)
+    fill = "words that stand between both of these here so that neither touches the other one"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = [(1, f"{item} {values(9, 15, 8, 3, 25)}"), (2, f"{values(9, 15, 8, 3, 25)}. {fill}. {item}"),
+            (3, f"{values(12, 15, 8, 4, 25)}. {fill}. {values(9, 30, 6, 3, 20)}"), (4, f"{fill} {item[:26]} {fill}"),
+            (5, item.replace("plums", "plums too and"))]
+    got = {x.doc_id: x.coverage for x in decontaminate.contaminated(docs_of(docs), bench).collect()}
+    assert {i: got.get(i) for i in (1, 2, 3)} == {1: 1.0, 2: 1.0, 3: 1.0}
+    assert 4 not in got and 0.6 <= got[5] < 1
+
+
 def test_windows_against_brute_force():
     r = random.Random(3)
     words = ["Anna", "said", "12", "km", "the", "Bob", "one", "miles", ".", "tree", "3.5", "kg", "USA"]

@@ -141,24 +141,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 
     Texts are named by their SHA-256; copies are searched once per row but counted once.
     Of several values that a document has for one value of an item, the most frequent
-    counts (ties: the first by text), and only windows that agree with it."""
+    counts (ties: the last by text), and only windows that agree with it or hold the item's
+    own values. The values are chosen, and the windows counted, in the whole document,
+    at each distance between document and item position, and within each range of
+    distances as wide as the item (two rows of ranges, half a width apart, so words
+    put into a copy do not part it); the best of these counts."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", whole_text().alias("text"))
-    known = materialize(_windows(items, "item_id", None).select("item_id", "position", "hash", F.col("slots").alias("asked")), "item-windows")
+    known = materialize(_windows(items, "item_id", None).select("item_id", F.col("position").alias("at"), "hash", F.col("slots").alias("asked")).distinct(), "item-windows")
     bitmap = _bitmap(known)
-    # what an item has: its distinct windows
-    sizes = known.groupBy("item_id").agg(F.countDistinct("hash").alias("size"))
+    # what an item has: its distinct windows, and the tokens from the first to the last of them
+    sizes = known.groupBy("item_id").agg(F.countDistinct("hash").alias("size"), (F.max("at") - F.min("at") + WINDOW).alias("extent"))
+    once = known.groupBy("item_id", "hash", "asked").agg(F.min("at").alias("first"))
+    places = known.join(once, ["item_id", "hash", "asked"]).withColumn("first", F.col("first") == F.col("at"))
     texts = docs.select(whole_text().alias("text")).select(F.sha2("text", 256).alias("text_digest"), "text")
     found = materialize(_windows(texts, "text_digest", bitmap).dropDuplicates(["text_digest", "position", "hash"]), "document-windows")
-    met = materialize(found.join(known.drop("position").distinct(), "hash").select("text_digest", "item_id", "hash", "position", "asked", "slots"), "met-windows")
+    met = materialize(found.join(places, "hash").select("text_digest", "item_id", "hash", "position", "at", "first", "asked", "slots"), "met-windows")
+    pair = ["text_digest", "item_id"]
+    # only texts that hold enough of an item's windows, whatever their values, can leak it
+    enough = (met.groupBy(*pair).agg(F.countDistinct("hash").alias("n")).join(sizes, "item_id")
+              .where(F.col("n") / F.col("size") >= coverage).select(*pair, "extent"))
+    apart = F.col("position") - F.col("at")
+    alone = [F.struct(F.lit(k).alias("kind"), F.floor(c).cast("int").alias("where")) for k, c in (
+        (1, apart), (2, apart / F.col("extent")), (3, apart / F.col("extent") + 0.5))]
+    everywhere = F.struct(F.lit(0).alias("kind"), F.lit(0).alias("where"))
+    side = (met.join(enough, pair).select("*", F.explode(F.when(F.col("first"), F.array(everywhere, *alone)).otherwise(F.array(*alone))).alias("side"))
+            .select(*pair, "side", "hash", "asked", "slots"))
+    key = [*pair, "side"]
     # value of the item -> most frequent value of the document
-    pairs = met.select("text_digest", "item_id", "hash", "position", "asked", "slots",
-                       F.explode(F.arrays_zip(F.col("asked").alias("a"), F.col("slots").alias("b"))).alias("z"))
-    votes = pairs.groupBy("text_digest", "item_id", F.col("z.a").alias("a"), F.col("z.b").alias("b")).agg(F.count("*").alias("n"))
-    chosen = (votes.groupBy("text_digest", "item_id", "a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-              .groupBy("text_digest", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("map")))  # an item's values
+    pairs = side.select(*key, F.explode(F.arrays_zip(F.col("asked").alias("a"), F.col("slots").alias("b"))).alias("z"))
+    votes = pairs.groupBy(*key, F.col("z.a").alias("a"), F.col("z.b").alias("b")).agg(F.count("*").alias("n"))
+    chosen = (votes.groupBy(*key, "a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+              .groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("map")))  # an item's values
     agree = F.forall(F.arrays_zip(F.col("asked").alias("a"), F.col("slots").alias("b")), lambda z: F.element_at("map", z["a"]) == z["b"])
-    good = (met.join(chosen, ["text_digest", "item_id"], "left").where(F.col("map").isNull() | agree)
-            .groupBy("text_digest", "item_id").agg(F.countDistinct("hash").alias("n_windows")))
+    good = (side.join(chosen, key, "left").where(F.col("map").isNull() | (F.col("asked") == F.col("slots")) | agree)
+            .groupBy(*key).agg(F.countDistinct("hash").alias("n_windows"))
+            .groupBy(*pair).agg(F.max("n_windows").alias("n_windows")))
     return (good.join(sizes, "item_id").withColumn("coverage", F.col("n_windows") / F.col("size"))
             .where(F.col("coverage") >= coverage).select("text_digest", "item_id", "n_windows", "coverage"))
 
