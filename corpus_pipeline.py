@@ -29,7 +29,7 @@ def near_dedup(spark, docs, sf_dir):
 
 
 def without_leaks(spark, docs, sf_dir):
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def without_secrets(spark, docs, sf_dir):

@@ -123,6 +123,19 @@ def test_copy_beside_a_variant(docs_of, spark):
     assert 4 not in got and 0.6 <= got[5] < 1
 
 
+def test_items_without_windows(docs_of, spark):
+    """Title-case, number-heavy and short items are found by their whole sequence of tokens."""
+    items = [(1, "Who Wrote The Great Gatsby In America"), (2, "12 34 56, 78 90 11 13"), (3, "Capital of France?"), (4, "?"),
+             (5, ITEMS[1][1]), (5, "Jane Austen Wrote Emma And Persuasion")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    fill = "some ordinary words that stand around"
+    docs = [(1, f"{fill}: who wrote the Great Gatsby in America, {fill}"), (2, f"{fill} 12 34 56 78 90 11 13 14"), (3, f"{fill}. capital of France"),
+            (4, "12 34 56 78 90 11 14"), (5, "Who Wrote The Great Gatsby In Canada"), (6, "capital of"), (7, f"{ITEMS[1][1]} Jane Austen wrote Emma and Persuasion")]
+    found = lambda **k: sorted((x.doc_id, x.item_id) for x in decontaminate.contaminated(docs_of(docs), bench, **k).collect())
+    assert found(shortest=1) == [(1, 1), (2, 2), (3, 3), (7, 5)]
+    assert found() == [(1, 1), (2, 2), (7, 5)]
+
+
 def test_windows_against_brute_force():
     r = random.Random(3)
     words = ["Anna", "said", "12", "km", "the", "Bob", "one", "miles", ".", "tree", "3.5", "kg", "USA"]

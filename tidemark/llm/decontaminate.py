@@ -11,7 +11,9 @@ Documents emit only windows that a bitmap of the benchmark's hashes lets through
 the bitmap has a fixed size (``BITMAP_BITS``), whatever the benchmark, and false
 positives end in the join. Windows of which less than ``LITERALS`` tokens are
 words of their own are left out on both sides: placeholders alone tell nothing.
-An item with fewer than ``WINDOW`` tokens, or without such a window, can't be found.
+An item without such a window is held by a document that has its whole sequence of
+tokens, with the values they have (upper and lower case are equal); ``shortest`` is the
+least number of tokens of items searched this way.
 """
 
 from __future__ import annotations
@@ -70,6 +72,27 @@ class _Words(dict):
 
 
 _memo = _Words()
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def sequences(raw: list[str], keep: np.ndarray, lengths: list[int]) -> np.ndarray:
+    """A hash of every sequence of so many tokens, values and all: a window's sum of
+    token * inverse power is a difference of running sums, shifted back to power 0."""
+    n = len(keep)
+    value = np.fromiter((_memo[raw[k]] & ~7 for k in keep.tolist()), np.uint64, n)
+    power = np.ones(n + 1, np.uint64)
+    back = power.copy()
+    power[1:], back[1:] = _BASE, _INVERSE
+    power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
+    total = np.append(np.uint64(0), np.cumsum(value * power[:n], dtype=np.uint64))
+    out = [_mixed((total[m:] - total[:-m]) * back[:n - m + 1] ^ np.uint64(m)) for m in lengths if m <= n]
+    return np.concatenate([*out, np.zeros(0, np.uint64)])
 
 
 def templates(text: str):
@@ -96,10 +119,47 @@ def templates(text: str):
     for j in range(WINDOW):
         h = h * _BASE + value[j:j + n]
         literals += ~slot[j:j + n]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    return raw, keep, slot, h, literals >= LITERALS
+    return raw, keep, slot, _mixed(h), literals >= LITERALS
+
+
+def _whole_items(items: DataFrame, shortest: int) -> DataFrame:
+    """(item_id, length, hash) of the items that have no usable window: their whole sequence of tokens."""
+    def whole(batches):
+        for b in batches:
+            of, lengths, hashes = [], [], []
+            for i, text in enumerate(b.column(1)):
+                raw, keep, _, _, usable = templates(text.as_py())
+                if len(keep) >= max(shortest, 1) and not usable.any():
+                    of.append(i)
+                    lengths.append(len(keep))
+                    hashes.append(sequences(raw, keep, [len(keep)]))
+            h = np.concatenate([*hashes, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.record_batch([b.column(0).take(pa.array(of, pa.int64())), pa.array(lengths, pa.int32()), pa.array(h)], names=["item_id", "length", "hash"])
+
+    kind = items.schema["item_id"].dataType.simpleString()
+    return small_batches(items).select("item_id", "text").mapInArrow(whole, f"item_id {kind}, length int, hash long")
+
+
+def _whole_matches(texts: DataFrame, wholes: DataFrame) -> DataFrame:
+    """(text_digest, item_id, n_windows, coverage) of the texts that hold an item's whole sequence of tokens."""
+    lengths = sorted(r["length"] for r in wholes.select("length").distinct().collect())
+    bitmap, shift = _bitmap(wholes), np.uint64(64 - BITMAP_BITS)
+
+    def cut(batches):
+        for b in batches:
+            of, hashes = [], []
+            for i, text in enumerate(b.column(1)):
+                raw, keep, *_ = templates(text.as_py())
+                h = sequences(raw, keep, lengths)
+                h = np.unique(h[bitmap[h >> shift]])
+                of.append(np.full(len(h), i))
+                hashes.append(h)
+            h = np.concatenate([*hashes, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.record_batch([b.column(0).take(pa.array(np.concatenate([*of, np.zeros(0, np.int64)]))), pa.array(h)], names=["text_digest", "hash"])
+
+    held = small_batches(texts).select("text_digest", "text").mapInArrow(cut, "text_digest string, hash long")
+    n = F.greatest(F.col("length") - WINDOW + 1, F.lit(1)).cast("long")
+    return held.join(wholes, "hash").select("text_digest", "item_id", n.alias("n_windows"), F.lit(1.0).alias("coverage"))
 
 
 def _windows(rows: DataFrame, key: str, bitmap: np.ndarray | None) -> DataFrame:
@@ -135,7 +195,7 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = WINDOW) -> DataFrame:
     """(text_digest, item_id, n_windows, coverage) of every document text that
     holds at least ``coverage`` of an item's windows with consistent slot values.
 
@@ -145,7 +205,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     own values. The values are chosen, and the windows counted, in the whole document,
     at each distance between document and item position, and within each range of
     distances as wide as the item (two rows of ranges, half a width apart, so words
-    put into a copy do not part it); the best of these counts."""
+    put into a copy do not part it); the best of these counts. An item without a usable
+    window, of at least ``shortest`` tokens, must stand in the document as a whole."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", whole_text().alias("text"))
     known = materialize(_windows(items, "item_id", None).select("item_id", F.col("position").alias("at"), "hash", F.col("slots").alias("asked")).distinct(), "item-windows")
     bitmap = _bitmap(known)
@@ -176,19 +237,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     good = (side.join(chosen, key, "left").where(F.col("map").isNull() | (F.col("asked") == F.col("slots")) | agree)
             .groupBy(*key).agg(F.countDistinct("hash").alias("n_windows"))
             .groupBy(*pair).agg(F.max("n_windows").alias("n_windows")))
-    return (good.join(sizes, "item_id").withColumn("coverage", F.col("n_windows") / F.col("size"))
+    held = (good.join(sizes, "item_id").withColumn("coverage", F.col("n_windows") / F.col("size"))
             .where(F.col("coverage") >= coverage).select("text_digest", "item_id", "n_windows", "coverage"))
+    wholes = materialize(_whole_items(items, shortest).distinct(), "whole-items")
+    if wholes.isEmpty():
+        return held
+    # an item_id may have several rows: one result for each text and item
+    best = held.unionByName(_whole_matches(texts, wholes)).groupBy(*pair).agg(F.max(F.struct("coverage", "n_windows")).alias("best"))
+    return best.select(*pair, "best.n_windows", "best.coverage")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = WINDOW) -> DataFrame:
     """doc_id, item_id, n_windows, coverage: one row per leaking document row and
     item. Clean documents give no row. Null and empty texts have no windows."""
     named = docs.select("doc_id", F.sha2(whole_text(), 256).alias("text_digest"))
-    return named.join(leaks(docs, benchmark, coverage), "text_digest").select("doc_id", "item_id", "n_windows", "coverage")
+    return named.join(leaks(docs, benchmark, coverage, shortest), "text_digest").select("doc_id", "item_id", "n_windows", "coverage")
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = WINDOW) -> DataFrame:
     """The documents that leak no item, with their columns."""
-    found = materialize(leaks(docs, benchmark, coverage).select(F.col("text_digest").alias("__digest")).distinct(), "leaking-texts")
+    found = materialize(leaks(docs, benchmark, coverage, shortest).select(F.col("text_digest").alias("__digest")).distinct(), "leaking-texts")
     marked = docs.withColumn("__digest", F.sha2(whole_text(), 256))
     return marked.join(found, "__digest", "left_anti").select(docs.columns)
