@@ -118,3 +118,27 @@ def test_licenses(docs_of):
     assert got == sorted((i or -1, *slow_licenses(t)) for i, t in docs)
     assert any(x[6] for x in got)
     assert license_scan.scan_licenses(docs_of([])).count() == 0
+
+
+def test_licenses_at_every_word(docs_of):
+    """A match of a whole block, or of a template longer than a block, at every word offset."""
+    wide = ("No part of this publication may be reproduced, distributed, or transmitted in any form or by any means, including photocopying, recording, "
+            "or other electronic or mechanical methods, without the prior written permission")
+    assert len(slow_words(wide)) == license_scan.BLOCK
+    long = " ".join(f"clause{i}" for i in range(45))
+    templates = {**license_scan.TEMPLATES, "long": [long]}
+    docs = [(200 + at, "filler " * at + wide) for at in range(16)] + [(300 + at, "filler " * at + long + " filler" * 40) for at in range(16)] + list(ODD)
+    r = random.Random(4)
+    vocabulary = sorted(set(slow_words(" ".join(t for texts in license_scan.TEMPLATES.values() for t in texts)))) + ["filler"]
+    docs += [(1000 + i, " ".join(r.choice(vocabulary) for _ in range(150)) + " " + r.choice(license_scan.TEMPLATES["mit"]) + " filler" * 30) for i in range(40)]
+    got = {x.doc_id: x.labels.split(",") for x in license_scan.scan_licenses(docs_of(docs), templates, every=True).collect()}
+    assert all("no-reuse" in got[200 + at] and "long" in got[300 + at] for at in range(16))
+    sets, sizes = license_scan.template_sets(templates), license_scan.block_sizes(templates)
+    assert sizes[[label for label, _ in sets].index("long")] == 90
+    for i, text in docs:
+        words = slow_words(text)
+        if i is None or i < 1000:
+            continue
+        want = {label for (label, t), size in zip(sets, sizes) for at in range(len(words)) if len(set(words[at:at + size]) & t) / len(t) >= 0.9 - 1e-9}
+        want |= {label for p, label in PHRASES.items() for at in range(len(words)) if tuple(words[at:at + len(p)]) == p}
+        assert set(got[i]) == want

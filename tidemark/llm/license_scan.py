@@ -1,8 +1,13 @@
 """License scan: exact set-similarity join of text blocks with notice templates.
 
-DataFrame expressions only. A block is a window of ``BLOCK`` words, moved by half
-of it, so any passage of up to half a block lies whole in one. A block matches
-a template if it holds at least ``CONTAINMENT`` of the template's distinct words.
+DataFrame expressions only. A block is a window of ``BLOCK`` words, or of twice a
+template's words if that is more, and begins at every word (``every=True``) or at every
+half block, where only a passage of up to half a block lies whole in one. A block
+matches a template if it holds at least ``CONTAINMENT`` of the template's distinct words.
+
+Of the blocks at every word, those that begin at a template word, with a prefix
+word (below) inside, are enough: one that begins at another word holds no more
+template words than the block that begins at its first template word.
 
 The join: template words are ordered by their count in the whole corpus, rarest
 first. A template of n words that needs o of them is indexed under its first
@@ -30,7 +35,7 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 
 BLOCK = 32
 CONTAINMENT = 0.9
-#: label -> notices, each of at most BLOCK / 2 words
+#: label -> notices
 TEMPLATES = {
     "agpl": ["GNU Affero General Public License version 3"],
     "apache": ["Licensed under the Apache License, Version 2.0",
@@ -81,37 +86,70 @@ def word_order(docs: DataFrame, words: set[str]) -> list[str]:
     return sorted(words, key=lambda w: (counts.get(w, 0), w))
 
 
+def block_sizes(templates: dict[str, list[str]]) -> list[int]:
+    """The words of a block for each of ``template_sets``."""
+    import re
+
+    cut = re.compile(WORD + "+")
+    return [max(BLOCK, 2 * len(cut.findall(t.lower()))) for _, texts in sorted(templates.items()) for t in texts]
+
+
+def _every_block(words: Column, size: int, vocabulary: list[str], prefix: list[str]) -> Column:
+    """(block, held): the size, and the template words in their order, of the blocks of
+    ``size`` words that begin at a template word and hold a prefix word; equal ones once."""
+    order = F.array(*[F.lit(w) for w in vocabulary])
+    places = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.element_at(words, i).isin(prefix))
+    before = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(F.greatest(p - size + 1, F.lit(1)), p))))
+    begins = F.filter(before, lambda i: F.element_at(words, i).isin(vocabulary))
+    held = F.array_distinct(F.transform(begins, lambda i: F.array_intersect(order, F.slice(words, i, size))))
+    return F.transform(held, lambda h: F.struct(F.lit(size).alias("block"), h.alias("held")))
+
+
 def _blocks(words: Column) -> Column:
     half = BLOCK // 2
     last = F.greatest(F.ceil((F.size(words) - BLOCK) / half), F.lit(0)).cast("int")
     return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(words, b * half + 1, BLOCK))
 
 
-def matching_blocks(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+def matching_blocks(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT,
+                    every: bool = False) -> DataFrame:
     """text_digest, label, containment of every text block and template that
     meet the threshold; texts are named by their SHA-256, so copies do not multiply."""
     spark = docs.sparkSession
-    sets = template_sets(TEMPLATES if templates is None else templates)
+    templates = TEMPLATES if templates is None else templates
+    sets = template_sets(templates)
+    sizes = block_sizes(templates) if every else [BLOCK] * len(sets)
     order = word_order(docs, set().union(*(s for _, s in sets)))
     rank = {w: i for i, w in enumerate(order)}
-    rows, prefix_words = [], set()
-    for k, (label, words) in enumerate(sets):
+    rows, prefix_words, by_size = [], set(), {}
+    for k, ((label, words), size) in enumerate(zip(sets, sizes)):
         ordered = sorted(words, key=rank.get)
         need = math.ceil(containment * len(ordered) - 1e-9)
         for i, w in enumerate(ordered[:len(ordered) - need + 1]):
-            rows.append((w, k, label, ordered, len(ordered) - i, need))
+            rows.append((w, size, k, label, ordered, len(ordered) - i, need))
             prefix_words.add(w)
-    index = spark.createDataFrame(rows, "word string, template int, label string, words array<string>, rest int, need int")
+            by_size.setdefault(size, (set(), set()))[1].add(w)
+        if ordered:
+            by_size[size][0].update(ordered)
+    index = spark.createDataFrame(rows, "word string, block int, template int, label string, words array<string>, rest int, need int")
     prefix = F.array(*[F.lit(w) for w in sorted(prefix_words, key=rank.get)])
     text = whole_text()
     held = (docs.select(text.alias("t")).where(F.col("t").rlike(_pattern(sorted(prefix_words))))
             .select(F.sha2("t", 256).alias("text_digest"), _all(_lower(F.col("t")), WORD + "+").alias("w")))
-    blocks = held.select("text_digest", F.explode(_blocks(F.col("w"))).alias("block"))
-    vocabulary = F.array(*[F.lit(w) for w in order])
     # array_intersect keeps the order of its first side: the global order
-    sorted_blocks = (blocks.where(F.arrays_overlap("block", prefix)).select("text_digest", F.array_intersect(vocabulary, "block").alias("held")).distinct())
-    met = (sorted_blocks.select("text_digest", "held", F.explode(F.array_intersect(prefix, "held")).alias("word"))
-           .join(index, "word")
+    if every:
+        ranked = lambda words: sorted(words, key=rank.get)
+        lists = [_every_block(F.col("w"), size, ranked(of), ranked(first)) for size, (of, first) in sorted(by_size.items())]
+        least = F.lit(min((r[-1] for r in rows), default=0))
+        sorted_blocks = (held.select("text_digest", F.explode(F.filter(F.concat(*lists), lambda b: F.size(b["held"]) >= least)).alias("b"))
+                         .select("text_digest", "b.block", "b.held").distinct())
+    else:
+        vocabulary = F.array(*[F.lit(w) for w in order])
+        blocks = held.select("text_digest", F.explode(_blocks(F.col("w"))).alias("block"))
+        sorted_blocks = (blocks.where(F.arrays_overlap("block", prefix))
+                         .select("text_digest", F.lit(BLOCK).alias("block"), F.array_intersect(vocabulary, "block").alias("held")).distinct())
+    met = (sorted_blocks.select("text_digest", "block", "held", F.explode(F.array_intersect(prefix, "held")).alias("word"))
+           .join(index, ["word", "block"])
            .where((F.size("held") >= F.col("need"))
                   & (F.least("rest", F.size("held") - F.array_position("held", F.col("word")) + 1) >= F.col("need"))))
     share = F.size(F.array_intersect("held", "words")) / F.size("words")
@@ -120,12 +158,13 @@ def matching_blocks(docs: DataFrame, templates: dict[str, list[str]] | None = No
             .groupBy("text_digest", "label").agg(F.max("containment").alias("containment")))
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT,
+                  every: bool = False) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     The base columns tell of the fixed phrases; labels adds those of matching
     templates; score is the largest share of a phrase (1) or template found, 0 if
-    none. Null and empty texts have no words, null word places, empty labels."""
+    none. ``every``: blocks at every word. Null and empty texts have no words, null word places, empty labels."""
     phrase = rf"(?i)(?<!{WORD})(?:{'|'.join(p.replace(' ', GAP) for p in PHRASES)})(?!{WORD})"
     words_in = lambda c: F.regexp_count(c, F.lit(WORD + "+")).cast("long")
     first = docs.select("doc_id", whole_text().alias("t")).select("doc_id", "t", _all(F.col("t"), phrase).alias("found"))
@@ -136,7 +175,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None
                     words_in(F.col("gaps")[0]).alias("first_word"),
                     F.when(F.size("found") > 0, F.col("n_words") - words_in(F.element_at("gaps", -1)) - words_in(F.element_at("found", -1))).alias("last_word"),
                     F.array_sort(F.array_distinct(F.transform("found", _label))).alias("base_labels")))
-    more = (matching_blocks(docs, templates, containment).groupBy("text_digest")
+    more = (matching_blocks(docs, templates, containment, every).groupBy("text_digest")
             .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")))  # at most one entry per label
     none = F.expr("cast(array() as array<string>)")
     return base.join(more, "text_digest", "left").select(
