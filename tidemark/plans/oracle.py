@@ -97,7 +97,7 @@ jr AS (
                  WHEN batch_vwap IS NULL THEN 'batch' WHEN streaming_vwap IS NULL THEN 'stream'
                  WHEN diff_pct IS NULL THEN 'undefined_diff' END AS reason FROM jj)"""
 
-# both sides with outages (see plans.queries._recon)
+# both sides with outages (see plans.queries._with_outages)
 RECON_OUTAGES = RECON.replace(
     "FROM vw WHERE window_end <=", "FROM vw WHERE window_start // 3600000 % 7 <> 0 AND "
     "(window_start // 3600000 % 5 <> 0 OR symbol <= 'BTCUSDT') AND window_end <=").replace(
@@ -338,7 +338,7 @@ ORDER BY event_time DESC, symbol DESC, exchange DESC, side DESC, price DESC, qua
 SELECT window_start AS time, concat(symbol, ' VWAP') AS metric, ROUND(vwap, 6) AS vwap FROM vw
 WHERE window_start >= 1704067200000 AND window_start <= 1706745600000"""),
 
-    "reconcile": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON_OUTAGES.strip() + f"""
+    "reconcile": _with(", " + _vwap(300_000, "5m").strip() + ", " + RECON.strip() + f"""
 SELECT CAST({RUN_TIME_MS} AS BIGINT) AS run_time, hour_start_ms AS window_start,
        hour_start_ms + 3600000 AS window_end, symbol, ROUND(streaming_vwap, 6) AS streaming_vwap,
        ROUND(batch_vwap, 6) AS batch_vwap, ROUND(diff_pct, 6) AS diff_pct,

@@ -153,21 +153,26 @@ def q_vwap_series(spark, sf_dir) -> DataFrame:
     return s.select(ms("time").alias("time"), "metric", r6("vwap").alias("vwap"))
 
 
-def _recon(spark, sf_dir):
-    """Both sides with outages: the streamed side lacks every 7th hour and, in
+def _recon_sides(spark, sf_dir):
+    """The lake rows of venue A and the 5-minute windows over the same trades, both whole."""
+    a, _ = _feeds(spark, sf_dir)
+    return raw_a_projection(a), vwap_rows(vwap_by_window(a))
+
+
+def _with_outages(lake, streamed):
+    """Stand-in input of ``reconcile_missing``: the streamed side lacks every 7th hour and, in
     every 5th, symbols after 'BTCUSDT'; the lake lacks every 11th hour and, in
     every 13th, 'BTCUSDT'; in every 17th hour its trades have price 0."""
-    a, _ = _feeds(spark, sf_dir)
     hour = F.floor(F.unix_millis("window_start") / 3_600_000)
-    streamed = vwap_rows(vwap_by_window(a)).where((hour % 7 != 0) & ((hour % 5 != 0) | (F.col("symbol") <= "BTCUSDT")))
+    streamed = streamed.where((hour % 7 != 0) & ((hour % 5 != 0) | (F.col("symbol") <= "BTCUSDT")))
     lake_hour = F.floor(F.col("trade_time") / 3_600_000)
-    lake = (raw_a_projection(a).where((lake_hour % 11 != 0) & ((lake_hour % 13 != 0) | (F.col("symbol") != "BTCUSDT")))
+    lake = (lake.where((lake_hour % 11 != 0) & ((lake_hour % 13 != 0) | (F.col("symbol") != "BTCUSDT")))
             .withColumn("price", F.when(lake_hour % 17 == 0, F.lit(0.0)).otherwise(F.col("price"))))
-    return reconcile.reconcile_hourly(lake, streamed, run_time=RUN_TIME)
+    return lake, streamed
 
 
 def q_reconcile(spark, sf_dir) -> DataFrame:
-    res, _ = _recon(spark, sf_dir)
+    res, _ = reconcile.reconcile_hourly(*_recon_sides(spark, sf_dir), run_time=RUN_TIME)
     return res.select(ms("run_time").alias("run_time"), ms("window_start").alias("window_start"),
                       ms("window_end").alias("window_end"), "symbol",
                       r6("streaming_vwap").alias("streaming_vwap"), r6("batch_vwap").alias("batch_vwap"),
@@ -175,7 +180,7 @@ def q_reconcile(spark, sf_dir) -> DataFrame:
 
 
 def q_reconcile_missing(spark, sf_dir) -> DataFrame:
-    _, miss = _recon(spark, sf_dir)
+    _, miss = reconcile.reconcile_hourly(*_with_outages(*_recon_sides(spark, sf_dir)), run_time=RUN_TIME)
     return miss.select(ms("window_start").alias("window_start"), "symbol",
                        r6("streaming_vwap").alias("streaming_vwap"), r6("batch_vwap").alias("batch_vwap"),
                        "reason")
