@@ -1,0 +1,129 @@
+"""The trie against one built in plain Python."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import duckdb
+import pytest
+
+from tidemark.llm import prefix_trie
+from tidemark.llm.oracle import ORACLE
+from tidemark.llm.queries import QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth long, id string, path int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 7, "x", None) for r in rows], SCHEMA)
+
+
+def slow_rebuilt(rows):
+    def tie(role, text):
+        hexes = hashlib.sha256(role.encode()).hexdigest() + hashlib.sha256(text.encode()).hexdigest()
+        return hashlib.sha256(hexes.encode()).digest()[:16]
+
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append(((turn is not None, turn or 0), tie(role or "", text or ""), (role or "", text or "")))
+    turns = {c: [x[2] for x in sorted(v)] for c, v in own.items()}
+    out = {}
+    for c, t in turns.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (abs(c) % 100) * (1 if c >= 0 else -1)
+        out[c] = turns.get(base, [])[:h] + t[h:]
+    return out
+
+
+def slow_trie(rows):
+    rebuilt = slow_rebuilt(rows)
+    members = defaultdict(list)
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(list)
+    for key in members:
+        if key:
+            children[key[:-1]].append(key)
+    leaves, saved = {}, {}
+    for key in sorted(members, key=len, reverse=True):
+        leaves[key] = sum(leaves[c] for c in children[key]) or 1
+        saved[key] = sum(saved[c] for c in children[key]) + ((len(members[key]) - 1) * len(key[-1][1]) if key else 0)
+    out = []
+    for key, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(rebuilt[c]) == len(key))
+        out.append((min(m), len(key), min(members[key[:-1]]) if key else None, len(m), len(children[key]), leaves[key], saved[key],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def collected(df):
+    assert df.columns == COLUMNS and all(t == "bigint" for c, t in df.dtypes if c != "ends_sha256")
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def random_rows(seed, convs, deepest, alphabet):
+    r = random.Random(seed)
+    rows = []
+    for c in r.sample(range(-250, 700), convs):
+        for t in range(r.choice([1, 2, 3, r.randint(1, deepest)])):
+            rows.append((c, t, r.choice(["user", "assistant"]), "é😀" * r.randint(0, alphabet)))
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("band,deepest", [(2, 19), (3, 60), (8, 8)])
+def test_random_tries(spark, band, deepest):
+    rows = random_rows(band, 60, deepest, 1)
+    assert collected(prefix_trie.prefix_trie(frame(spark, rows), band)) == slow_trie(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(None, 1, "user", "lost"), (5, None, None, None), (5, None, None, None), (5, 0, "", ""), (5, 3, "user", "a\x00b"), (5, 3, "user", "a"),
+            (105, 1, "user", "word " * 50_000), (100, 2, "system", "s"), (100, None, "user", "first"), (7, 0, "user", "x"), (-5, 0, "user", "x"),
+            (-105, 9, None, "y"), (2 ** 62, 1, "user", "z"), (2 ** 62, 1, "user", "z")] + [(300 + i, 0, "user", "no base, few turns") for i in range(40)]
+    assert collected(prefix_trie.prefix_trie(frame(spark, rows))) == slow_trie(rows)
+
+
+def test_empty(spark):
+    assert prefix_trie.prefix_trie(frame(spark, []).limit(0)).count() == 0
+    assert prefix_trie.prefix_trie(frame(spark, [(None, 1, "user", "x")])).count() == 0
+
+
+def test_one_conversation_holds_most_rows(spark):
+    """Its turns are dealt over partitions, and no group is larger than a band."""
+    rows = [(0, i, "user", f"t{i % 7}") for i in range(900)] + [(c, i, "user", f"t{i}") for c in range(1, 60) for i in range(6)]
+    df = frame(spark, rows).repartition(6)
+    stored = {}
+
+    def keep(table, name):
+        stored[name] = spark.createDataFrame(table.collect(), table.schema)
+        return stored[name]
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart
+    try:
+        prefix_trie.rebuilt_turns(df, keep)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = stored["spans"].where("conv_id = 0").collect()
+    assert len(hot) > 1 and {x.own for x in hot} == {900}
+    assert collected(prefix_trie.prefix_trie(df)) == slow_trie(rows)
+
+
+def test_many_members_end_at_one_node(spark):
+    rows = [(c, 0, "user", "same") for c in range(2000)]
+    got = prefix_trie.prefix_trie(frame(spark, rows))
+    assert collected(got) == slow_trie(rows)
+
+
+def test_oracle(spark):
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{d}/conversations.parquet')")
+    want = con.execute(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLE['op11_prefix_trie']})").fetchall()
+    assert collected(QUERIES["op11_prefix_trie"](spark, d)) == sorted(want, key=str)

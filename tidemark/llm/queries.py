@@ -6,8 +6,10 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ball_tree, decontaminate, license_scan, packing, quality_gam, repeats, secret_scan, simhash, token_counts, toxicity
+from tidemark.llm import (ball_tree, decontaminate, license_scan, packing, prefix_trie, quality_gam, repeats, secret_scan, simhash, token_counts,
+                          toxicity)
 from tidemark.llm.common import table
+from tidemark.llm.oracle import ORACLE  # noqa: F401  DuckDB SQL of the same results
 
 
 def op1_toxicity(spark, sf_dir):
@@ -50,9 +52,10 @@ def op10_secret_scan(spark, sf_dir):
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_repeat_removal, op3_token_counts, op4_quality_gam, op5_license_scan, op6_exact_top_k, op7_decontamination,
-    op8_bin_slack_packing, op9_simhash_near_dedup, op10_secret_scan)}
-
-#: DuckDB SQL of the same result, where SQL can express it on whole tables.
-ORACLE: dict[str, str] = {}
+    op8_bin_slack_packing, op9_simhash_near_dedup, op10_secret_scan, op11_prefix_trie)}
