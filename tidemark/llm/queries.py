@@ -6,8 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ball_tree, decontaminate, license_scan, packing, prefix_trie, quality_gam, repeats, secret_scan, simhash, token_counts,
-                          toxicity)
+from tidemark.llm import (ball_tree, decontaminate, html_text, license_scan, packing, prefix_trie, quality_gam, repeats, secret_scan, simhash, token_counts,
+                          toxicity, whitening)
 from tidemark.llm.common import table
 from tidemark.llm.oracle import ORACLE  # noqa: F401  DuckDB SQL of the same results
 
@@ -56,6 +56,14 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_html_extraction(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_repeat_removal, op3_token_counts, op4_quality_gam, op5_license_scan, op6_exact_top_k, op7_decontamination,
-    op8_bin_slack_packing, op9_simhash_near_dedup, op10_secret_scan, op11_prefix_trie)}
+    op8_bin_slack_packing, op9_simhash_near_dedup, op10_secret_scan, op11_prefix_trie, op12_html_extraction, op13_whitening)}
