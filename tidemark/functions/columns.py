@@ -82,9 +82,3 @@ def half_open(col, start, end) -> Column:
 def closed(col, start, end) -> Column:
     """start <= col <= end."""
     return _c(col).between(start, end)
-
-
-def last_completed_hour(now) -> tuple[Column, Column]:
-    """[h - 1 hour, h) where h is ``now`` truncated to the hour (UTC)."""
-    end = F.date_trunc("hour", F.lit(now).cast("timestamp"))
-    return end - F.expr("INTERVAL 1 HOUR"), end

@@ -88,14 +88,23 @@ def reconcile_hourly(raw_a: DataFrame, vwap_rows: DataFrame, *, run_time,
     emptiness test handle small inputs whatever the trade volume."""
     from tidemark.operators.vwap import batch_vwap_by_hour
 
-    b = batch_vwap_by_hour(raw_a, hour_ms=hour_ms).withColumn("has_batch", F.lit(True))
-    ws_ms = F.unix_millis("window_start")
-    we_ms = F.unix_millis("window_end")
-    h0 = F.floor(ws_ms / hour_ms) * hour_ms
-    s = (vwap_rows.where(we_ms <= h0 + hour_ms)
-                  .groupBy("symbol", h0.alias("hour_start_ms"))
-                  .agg(_stream_mean(weighted).alias("streaming_vwap"))
-                  .withColumn("has_stream", F.lit(True)))
+    return compare_hours(batch_vwap_by_hour(raw_a, hour_ms=hour_ms), streaming_vwap_by_hour(vwap_rows, weighted=weighted, hour_ms=hour_ms),
+                         run_time=run_time, tolerance_pct=tolerance_pct, hour_ms=hour_ms)
+
+
+def streaming_vwap_by_hour(vwap_rows: DataFrame, *, weighted: bool = False, hour_ms: int = 3_600_000) -> DataFrame:
+    """(symbol, hour_start_ms, streaming_vwap) over windows that lie inside one hour."""
+    h0 = F.floor(F.unix_millis("window_start") / hour_ms) * hour_ms
+    return (vwap_rows.where(F.unix_millis("window_end") <= h0 + hour_ms)
+                     .groupBy("symbol", h0.alias("hour_start_ms"))
+                     .agg(_stream_mean(weighted).alias("streaming_vwap")))
+
+
+def compare_hours(batch: DataFrame, stream: DataFrame, *, run_time, tolerance_pct: float = C.RECON_DIFF_PCT,
+                  hour_ms: int = 3_600_000) -> tuple[DataFrame, DataFrame]:
+    """``(results, missing)`` of aggregates per (symbol, hour_start_ms): ``batch_vwap`` and ``streaming_vwap``."""
+    b = batch.withColumn("has_batch", F.lit(True))
+    s = stream.withColumn("has_stream", F.lit(True))
     j = _with_reason(_compare(b.join(s, ["symbol", "hour_start_ms"], "full_outer"), tolerance_pct), "hour_start_ms")
     rt = F.lit(run_time).cast("timestamp")
     ok = F.col("reason").isNull()

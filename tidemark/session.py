@@ -108,6 +108,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file in one step (written aside, then renamed); an existing one is left."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{p.getParent().toString()}/.{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    if not fs.rename(aside, p) and not fs.exists(p):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def materialize(df, name: str, path: str | None = None):
     """Write ``df`` as Parquet under the shared folder and read it back.
 

@@ -5,7 +5,9 @@ Every job takes streaming DataFrames (see ``sources.feeds``), an output folder
 and a checkpoint folder (default: under ``spark.checkpoint.dir``). The
 checkpoint holds source offsets, the commit log and operator state
 (RocksDB), so a restarted job resumes without loss or duplicates; the
-``foreachBatch`` sinks are idempotent per batch id.
+``foreachBatch`` sinks are idempotent per batch id, and readers take a batch once its
+commit record is written. With ``catalog`` (a database whose tables were created at the
+output's place, see ``sources.lake``), new partitions are added to the job's table there.
 """
 
 from __future__ import annotations
@@ -25,9 +27,9 @@ from tidemark.operators.interval_join import arbitrage_rows, arbitrage_signals
 from tidemark.operators.vwap import vwap_by_window, vwap_rows
 from tidemark.operators.whales import whale_alert_rows, whale_trades
 from tidemark.session import shared_dir
-from tidemark.sources.lake import raw_a_projection, raw_b_projection
+from tidemark.sources.lake import RAW_A_TABLE, RAW_B_TABLE, raw_a_projection, raw_b_projection
 from tidemark.streaming.double_bottom_state import stream_double_bottom
-from tidemark.streaming.sinks import lake_writer, multi_writer, result_table_writer
+from tidemark.streaming.sinks import lake_table_writer, multi_writer, result_table_writer
 
 #: Columns that each job reads of its inputs (venue A, venue B); sources are
 #: narrowed to them (``feeds.read_trades_a(..., columns=)``).
@@ -94,30 +96,35 @@ def _start(rows: DataFrame, writer, checkpoint: str, name: str, trigger: dict |
                     .start())
 
 
+def _result_writer(out_path: str, table: schemas.ResultTable, catalog: str | None):
+    return result_table_writer(out_path, table, f"{catalog}.{table.name}" if catalog else None)
+
+
 def vwap_job(trades_a: DataFrame, out_path: str, *, checkpoint: str | None = None,
              window: str = C.VWAP_WINDOW, interval_label: str = C.VWAP_INTERVAL_LABEL,
-             watermark: str = C.WATERMARK_DELAY, trigger: dict | None = None) -> StreamingQuery:
+             watermark: str = C.WATERMARK_DELAY, trigger: dict | None = None, catalog: str | None = None) -> StreamingQuery:
     """Windowed VWAP; each window is written once, after the watermark
     passes its end."""
     rows = vwap_rows(vwap_by_window(trades_a, window=window, interval_label=interval_label,
                                     watermark=watermark))
-    return _start(rows, result_table_writer(out_path, schemas.VWAP_AGGREGATIONS),
+    return _start(rows, _result_writer(out_path, schemas.VWAP_AGGREGATIONS, catalog),
                   _ckpt(trades_a, checkpoint, "vwap", out_path), "vwap", trigger)
 
 
 def whale_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
               checkpoint: str | None = None, normalise: bool = False,
-              thresholds: dict[str, float] | None = None, trigger: dict | None = None) -> StreamingQuery:
+              thresholds: dict[str, float] | None = None, trigger: dict | None = None, catalog: str | None = None) -> StreamingQuery:
     """Stateless union and threshold filter of both venues."""
     rows = whale_alert_rows(whale_trades(trades_a, trades_b, thresholds=thresholds, normalise=normalise))
-    return _start(rows, result_table_writer(out_path, schemas.WHALE_ALERTS),
+    return _start(rows, _result_writer(out_path, schemas.WHALE_ALERTS, catalog),
                   _ckpt(trades_a, checkpoint, "whales", out_path), "whales", trigger)
 
 
 def arbitrage_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
                   checkpoint: str | None = None, half_width_ms: int = C.JOIN_HALF_WIDTH_MS,
                   min_spread_pct: float = C.SPREAD_PCT_MIN, watermark: str = C.WATERMARK_DELAY,
-                  watermark_policy: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                  watermark_policy: str | None = None, idle_ms: int | None = None, trigger: dict | None = None,
+                  catalog: str | None = None) -> StreamingQuery:
     """Watermarked interval join of the two venues and the spread filter.
     Join state is kept per (symbol, time bucket) and dropped once the
     watermark is more than the half width past it.
@@ -125,44 +132,51 @@ def arbitrage_job(trades_a: DataFrame, trades_b: DataFrame, out_path: str, *,
     ``watermark_policy`` (R3): with two inputs Spark keeps one watermark,
     the slower input's (``"min"``, default) or the faster's (``"max"``: an
     idle venue does not hold results back, its late rows are dropped). It is
-    fixed in the checkpoint at the first start."""
+    fixed in the checkpoint at the first start.
+
+    ``idle_ms`` (R3) is the finer way: each venue's watermark also follows the other venue's event time less
+    ``idle_ms``, so a silent venue holds the state back by that at most, and its rows that
+    are late by less than ``idle_ms`` and the delay still join."""
     conf = {"spark.sql.streaming.multipleWatermarkPolicy": watermark_policy} if watermark_policy else {}
     rows = arbitrage_rows(arbitrage_signals(trades_a, trades_b, half_width_ms=half_width_ms,
-                                            min_spread_pct=min_spread_pct, watermark=watermark))
-    return _start(rows, result_table_writer(out_path, schemas.ARBITRAGE_SIGNALS),
+                                            min_spread_pct=min_spread_pct, watermark=watermark, idle_ms=idle_ms))
+    return _start(rows, _result_writer(out_path, schemas.ARBITRAGE_SIGNALS, catalog),
                   _ckpt(trades_a, checkpoint, "arbitrage", out_path), "arbitrage", trigger, conf=conf)
 
 
 def double_bottom_job(trades_a: DataFrame, out_path: str, *, checkpoint: str | None = None,
                       within_ms: int = C.PATTERN_WITHIN_MS, after_match: str = "past_last_row",
-                      watermark: str = C.WATERMARK_DELAY, trigger: dict | None = None) -> StreamingQuery:
+                      watermark: str = C.WATERMARK_DELAY, trigger: dict | None = None,
+                      catalog: str | None = None) -> StreamingQuery:
     """Stateful pattern matcher per symbol."""
     rows = double_bottom_rows(stream_double_bottom(trades_a, within_ms=within_ms,
                                                    after_match=after_match, watermark=watermark))
-    return _start(rows, result_table_writer(out_path, schemas.DOUBLE_BOTTOM_SIGNALS),
+    return _start(rows, _result_writer(out_path, schemas.DOUBLE_BOTTOM_SIGNALS, catalog),
                   _ckpt(trades_a, checkpoint, "double_bottom", out_path), "double_bottom", trigger)
 
 
-def lake_job(trades_a: DataFrame, trades_b: DataFrame, lake_root: str, *,
-             checkpoint: str | None = None, trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
-    """P5: both feeds appended to the raw lake tables (date partitioned),
-    each with its own exactly-once file sink and checkpoint."""
+def lake_job(trades_a: DataFrame, trades_b: DataFrame, lake_root: str, *, checkpoint: str | None = None,
+             trigger: dict | None = None, catalog: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """P5: both feeds appended to the raw lake tables (by date and batch),
+    each with its own checkpoint and commit records."""
     base = _ckpt(trades_a, checkpoint, "lake", lake_root)
-    qa = lake_writer(raw_a_projection(trades_a), os.path.join(lake_root, "binance_trades_raw"),
-                     os.path.join(base, "a"), time_col="trade_time", trigger=trigger, query_name="lake_a")
-    qb = lake_writer(raw_b_projection(trades_b), os.path.join(lake_root, "coinbase_trades_raw"),
-                     os.path.join(base, "b"), time_col="event_time", trigger=trigger, query_name="lake_b")
-    return qa, qb
+
+    def start(rows, name, time_col, venue):
+        writer = lake_table_writer(os.path.join(lake_root, name), time_col, f"{catalog}.{name}" if catalog else None)
+        return _start(rows, writer, os.path.join(base, venue), f"lake_{venue}", trigger or {"processingTime": "60 seconds"})
+
+    return (start(raw_a_projection(trades_a), RAW_A_TABLE, "trade_time", "a"),
+            start(raw_b_projection(trades_b), RAW_B_TABLE, "event_time", "b"))
 
 
 def ingest_job(raw: DataFrame, venue: str, out_root: str, *, checkpoint: str | None = None,
                trigger: dict | None = None) -> StreamingQuery:
     """Raw messages of one venue -> typed trades and dead letters, both
-    written from one persisted copy of each micro-batch's parsed rows."""
+    written from one persisted copy of each micro-batch's parsed rows and committed together."""
     parse, split = ((ingest.parsed_feed_a, ingest.split_feed_a) if venue == "a"
                     else (ingest.parsed_feed_b, ingest.split_feed_b))
     writer = multi_writer({
         "trades": (lambda rows: split(rows)[0], os.path.join(out_root, f"trades_{venue}")),
         "dead_letter": (lambda rows: split(rows)[1], os.path.join(out_root, f"dead_letter_{venue}")),
-    }, prepare=parse)
+    }, prepare=parse, root=out_root)
     return _start(raw, writer, _ckpt(raw, checkpoint, f"ingest_{venue}", out_root), f"ingest_{venue}", trigger)
