@@ -41,3 +41,6 @@ TOPIC_A = "raw-binance-trades"
 TOPIC_B = "raw-coinbase-match"
 PRICE_DECIMAL = "decimal(18,8)"
 # --- end of fixed values ----------------------------------------------------
+
+# Size of the latency quantile sketches (not a fixed value of the behaviour being reproduced).
+LATENCY_SKETCH_K = 4096

@@ -372,3 +372,25 @@ SELECT symbol, ROUND(price, 6) AS price, ROUND(quantity, 6) AS quantity, trade_t
 SELECT trade_id, product_id, ROUND(CAST(price AS DOUBLE), 6) AS price, ROUND(CAST(size AS DOUBLE), 6) AS size,
        side, event_time, ingestion_time FROM tb"""),
 }
+
+_STREAMED_5M = _with(", " + _vwap(300_000, "5m").strip() + """
+SELECT symbol, window_start, window_end, ROUND(vwap, 6) AS vwap, ROUND(total_volume, 6) AS total_volume,
+       trade_count, interval_label, CAST(window_start // 1000 AS BIGINT) AS version FROM vw
+WHERE window_end <= (SELECT MAX(trade_time) FROM ta) - 10000""")
+
+# stored tables: the same rows, written by jobs and read back
+ORACLE.update({
+    "stream_arbitrage_idle": ORACLE["stream_arbitrage"],
+    "catalog_raw_a_range": ORACLE["raw_a_projection"] + " WHERE trade_time >= 1704067200000 AND trade_time < 1706745600000",
+    "catalog_result_range": _STREAMED_5M + " AND window_start >= 1704067200000 AND window_end <= 1706745600000",
+    "compacted_rows": _STREAMED_5M,
+    "reconcile_run": "SELECT window_start, window_end, symbol, streaming_vwap, batch_vwap, diff_pct, status FROM (" + ORACLE["reconcile_streamed"]
+                     + f") WHERE window_end <= {RUN_TIME_MS}",
+    "stream_latest": ORACLE["latest_by_key"],
+    "stored_recent_alerts": "SELECT * EXCLUDE (version) FROM (" + ORACLE["latest_by_key"] + """)
+WHERE event_time >= 1704067200000 AND event_time <= 1706745600000
+ORDER BY event_time DESC, symbol DESC, exchange DESC, side DESC, price DESC, quantity DESC LIMIT 100""",
+    "latency_quantiles": ORACLE["latency_stats"][:ORACLE["latency_stats"].index("SELECT symbol, exchange, COUNT(*)")] + """
+SELECT symbol, exchange, COUNT(*) AS trades, quantile_disc(l, 0.5) AS p50, quantile_disc(l, 0.9) AS p90, quantile_disc(l, 0.99) AS p99
+FROM lat WHERE l IS NOT NULL GROUP BY 1, 2""",
+})

@@ -12,6 +12,7 @@ reference defaults (5 min, +-10 s, 10 min) are covered by unit tests.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -364,10 +365,90 @@ def q_stream_dead_letter_b(spark, sf_dir) -> DataFrame:
     return d
 
 
+RUN_TIMES = (datetime(2024, 1, 31, 23, 30), datetime(2024, 2, 1, 0, 30))
+
+
+def q_stream_arbitrage_idle(spark, sf_dir) -> DataFrame:
+    """The join job with heartbeats for a silent venue (idle after a day of event time)."""
+    from tidemark.plans import stream_runs
+    a = stream_runs.run_arbitrage(spark, sf_dir, half_width_ms=TEST_HALF_WIDTH_MS, idle_ms=86_400_000)
+    return a.select("symbol", r6("binance_price").alias("binance_price"),
+                    r6("coinbase_price").alias("coinbase_price"), r6("spread").alias("spread"),
+                    r6("spread_pct").alias("spread_pct"), "direction", ms("event_time").alias("event_time"),
+                    "version")
+
+
+def _catalog(spark, sf_dir):
+    from tidemark.plans import stream_runs
+    return stream_runs.run_catalog(spark, sf_dir, MONTH_START_MS, MONTH_END_MS, datetime.fromisoformat(MONTH_START), datetime.fromisoformat(MONTH_END))
+
+
+def q_catalog_raw_a_range(spark, sf_dir) -> DataFrame:
+    """Raw trades of venue A as the lake job wrote them, read from the catalog table."""
+    r, _, _ = _catalog(spark, sf_dir)
+    return r.select("symbol", r6("price").alias("price"), r6("quantity").alias("quantity"),
+                    "trade_time", "is_buyer_maker", "ingestion_time")
+
+
+def q_catalog_result_range(spark, sf_dir) -> DataFrame:
+    """Current VWAP windows as the streaming job wrote them, read from the catalog table."""
+    _, _, v = _catalog(spark, sf_dir)
+    return _vwap_out(v)
+
+
+def _vwap_out(v: DataFrame) -> DataFrame:
+    return v.select("symbol", ms("window_start").alias("window_start"), ms("window_end").alias("window_end"),
+                    r6("vwap").alias("vwap"), r6("total_volume").alias("total_volume"),
+                    "trade_count", "interval_label", "version")
+
+
+def q_compacted_rows(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    return _vwap_out(stream_runs.run_compacted(spark, sf_dir, first_before="2024-01-11", then_before="2024-01-21"))
+
+
+def q_reconcile_run(spark, sf_dir) -> DataFrame:
+    """Current verdicts after two incremental runs over the stored lake and windows."""
+    from tidemark.plans import stream_runs
+    v = stream_runs.run_reconciliation(spark, sf_dir, run_times=RUN_TIMES, first_lake_batch=4)
+    return v.select(ms("window_start").alias("window_start"), ms("window_end").alias("window_end"), "symbol",
+                    r6("streaming_vwap").alias("streaming_vwap"), r6("batch_vwap").alias("batch_vwap"),
+                    r6("diff_pct").alias("diff_pct"), "status")
+
+
+def q_stream_latest(spark, sf_dir) -> DataFrame:
+    from tidemark.plans import stream_runs
+    latest = stream_runs.run_latest_alerts(spark, sf_dir)
+    return latest.select("symbol", r6("price").alias("price"), r6("quantity").alias("quantity"),
+                         r6("trade_value").alias("trade_value"), "exchange", "side",
+                         ms("event_time").alias("event_time"), "version")
+
+
+def q_stored_recent_alerts(spark, sf_dir) -> DataFrame:
+    """The newest 100 alerts of the stored table, opening only the newest dates."""
+    from tidemark.plans import stream_runs
+    return _whale_out(stream_runs.run_recent_alerts(spark, sf_dir, MONTH_START, MONTH_END, 100))
+
+
+def q_latency_quantiles(spark, sf_dir) -> DataFrame:
+    """Median and tail latencies per symbol and venue from hourly sketches."""
+    from tidemark.operators import ingest
+    ta, _, tb, _ = _parsed(spark, sf_dir)
+    return ingest.latency_quantiles(ingest.latency_sketches(ta, tb))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_vwap": q_stream_vwap,
     "stream_whales": q_stream_whales,
     "stream_arbitrage": q_stream_arbitrage,
+    "stream_arbitrage_idle": q_stream_arbitrage_idle,
+    "stream_latest": q_stream_latest,
+    "catalog_raw_a_range": q_catalog_raw_a_range,
+    "catalog_result_range": q_catalog_result_range,
+    "compacted_rows": q_compacted_rows,
+    "reconcile_run": q_reconcile_run,
+    "stored_recent_alerts": q_stored_recent_alerts,
+    "latency_quantiles": q_latency_quantiles,
     "stream_double_bottom": q_stream_double_bottom,
     "stream_double_bottom_next_row": q_stream_double_bottom_next_row,
     "stream_lake_a": q_stream_lake_a,

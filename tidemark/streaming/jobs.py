@@ -17,6 +17,7 @@ import os
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import config as C
@@ -85,11 +86,11 @@ def _ckpt(df: DataFrame, checkpoint: str | None, name: str, out_path: str) -> st
 
 
 def _start(rows: DataFrame, writer, checkpoint: str, name: str, trigger: dict | None,
-           state_partitions: int | None = None, conf: dict[str, str] | None = None) -> StreamingQuery:
+           state_partitions: int | None = None, conf: dict[str, str] | None = None, mode: str = "append") -> StreamingQuery:
     spark = rows.sparkSession
     with _session_conf(spark, {**stream_conf(spark, state_partitions), **(conf or {})}):
         return (rows.writeStream.foreachBatch(writer)
-                    .outputMode("append")
+                    .outputMode(mode)
                     .option("checkpointLocation", checkpoint)
                     .queryName(name)
                     .trigger(**(trigger or DEFAULT_TRIGGER))
@@ -155,6 +156,23 @@ def double_bottom_job(trades_a: DataFrame, out_path: str, *, checkpoint: str | N
                   _ckpt(trades_a, checkpoint, "double_bottom", out_path), "double_bottom", trigger)
 
 
+def latest_job(rows: DataFrame, table: schemas.ResultTable, out_path: str, *, checkpoint: str | None = None, ttl: str = "1 day",
+               trigger: dict | None = None, catalog: str | None = None) -> StreamingQuery:
+    """A6 on a stream of result rows: the current row per key as changes. Each micro-batch
+    appends the keys whose current row changed in it, so the latest-by-key view over the
+    output equals that over all input so far.
+
+    State holds one row per key; the key's time column has a watermark of ``ttl``, past which a key is
+    forgotten and rows for it are dropped as late. A row that repeats the current one is no change."""
+    rest = [f.name for f in table.schema.fields if f.name not in table.key and f.name != table.version]
+    now = F.unix_micros(F.current_timestamp())  # one value per micro-batch, the same when it is replayed
+    kept = (rows.select(*[f.name for f in table.schema.fields], (-now).alias("_seen")).withWatermark(table.time, ttl)
+            .groupBy(*table.key).agg(F.max(F.struct(table.version, *rest, "_seen")).alias("_r")))
+    changed = kept.where(F.col("_r._seen") == -now).select(*table.key, "_r.*").drop("_seen")
+    return _start(changed, _result_writer(out_path, table, catalog), _ckpt(rows, checkpoint, f"latest_{table.name}", out_path),
+                  f"latest_{table.name}", trigger, mode="update")
+
+
 def lake_job(trades_a: DataFrame, trades_b: DataFrame, lake_root: str, *, checkpoint: str | None = None,
              trigger: dict | None = None, catalog: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """P5: both feeds appended to the raw lake tables (by date and batch),
