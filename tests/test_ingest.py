@@ -89,3 +89,14 @@ def test_each_message_is_parsed_once_for_both_outputs(spark):
     for part in split_feed_b(ready):
         assert "InMemoryRelation" in part._jdf.queryExecution().withCachedData().toString()
     ready.unpersist()
+
+
+def test_flag_of_the_message_itself(spark):
+    """A text flag is told from a literal by the message's own key, whatever nested objects hold."""
+    tails = [(',"M":false,"x":{"M":"y"}', False), (',"x":{"M":"y"},"M":0', False), (',"M":"false","x":{"M":false}', True), (',"M":"0"', True),
+             (',"M":"","x":{"M":"y"}', False), (',"x":"\\"M\\":\\"","M":false', False), (',"M":[]', False), (',"M":{"M":"a"}', True), (',"x":{"M":false}', True)]
+    msgs = ["{" + TRADE.format(t=i, p="1") + tail + "}" for i, (tail, _) in enumerate(tails)]
+    msgs += ['{"data":' + m.replace('"t":', '"t":1') + "}" for m in msgs]
+    trades, dead = parse_feed_a(_raw(spark, msgs))
+    want = [i for i, (_, kept) in enumerate(tails) if kept]
+    assert sorted(r.trade_id for r in trades.collect()) == sorted(want + [int(f"1{i}") for i in want]) and dead.count() == 0

@@ -187,3 +187,27 @@ def test_ingest_output_feeds_the_vwap_job(spark, tmp_dir):
                  for r in spark.read.parquet(os.path.join(tmp_dir, "vwap")).collect())
     # windows [0,5) and [5,10) are closed by the watermark (last row at minute 11); [10,15) is open
     assert got == [(0, 102.0, 5), (5, 107.0, 5)]
+
+
+def test_double_bottom_stream_with_nulls_equals_batch(spark, tmp_dir):
+    """Null ids sort first among equal times, a null price ends a run, rows without a time are left out."""
+    import random
+    rnd = random.Random(3)
+    p, rows = 100, []
+    for i in range(150):
+        p += rnd.choice([-2, -1, 1, 2])
+        rows.append(("X", T0 + (i - i % 2) * 2000, None if i % 2 else i, None if i % 23 == 22 else p, 1))
+    src = os.path.join(tmp_dir, "in")
+    for lo in range(0, 300_000, 30_000):
+        _append(trades_a(spark, [r for r in rows if lo <= r[1] - T0 < lo + 30_000]), src)
+    _append(trades_a(spark, [("X", 0, 1, 1, 1)]).withColumn("trade_time", F.lit(None).cast("long")), src)
+    s = feeds.read_trades_a(spark, src, stream=True, max_files_per_trigger=1)
+    q = jobs.double_bottom_job(s, os.path.join(tmp_dir, "out"), checkpoint=os.path.join(tmp_dir, "ck"),
+                               within_ms=60_000, watermark="0 seconds", trigger=ONCE)
+    q.awaitTermination()
+    got = sorted((r.first_dip, r.second_dip, r.breakout_price, int(r.confirmed_at.timestamp()))
+                 for r in spark.read.parquet(os.path.join(tmp_dir, "out")).collect())
+    last = max(r[1] for r in rows)
+    exp = sorted((r.first_dip, r.second_dip, r.breakout_price, r.confirmed_at_ms // 1000)
+                 for r in double_bottom(trades_a(spark, rows), within_ms=60_000).collect() if r.confirmed_at_ms < last)
+    assert got == exp and len(exp) > 2

@@ -64,9 +64,9 @@ def _rows(trades: DataFrame, time_col: str, price_col: str, id_col: str,
     return trades.select(
         F.col(symbol_col).alias("symbol"),
         F.col(time_col).cast("long").alias("ts"),
-        F.col(id_col).alias("tid"),
+        F.coalesce(F.col(id_col), F.lit(-2 ** 63)).alias("tid") if dict(trades.dtypes)[id_col] == "bigint" else F.col(id_col).alias("tid"),
         as_double(price_col).alias("price"),
-    ).withColumn("bucket", F.floor(F.col("ts") / bucket_ms))
+    ).where("ts IS NOT NULL").withColumn("bucket", F.floor(F.col("ts") / bucket_ms))
 
 
 def _with_neighbours(rows: DataFrame) -> DataFrame:

@@ -57,11 +57,13 @@ def _missing(m: Column, name: str) -> Column:
     return ~F.map_contains_key(m, F.lit(name)) | m[name].isNull()
 
 
-def _truthy(v: Column, is_text: Column) -> Column:
-    """JSON truthiness of a value rendered as text: of texts only the empty one
-    is falsy, of literals null, false, any zero, and empty lists and objects."""
+def _truthy(v: Column, body: Column, name: str) -> Column:
+    """JSON truthiness of the top-level value ``name`` of ``body``, given as text ``v``: of texts only the
+    empty one is falsy, of literals null, false, any zero, and empty lists and objects. Only a value that reads like
+    a falsy literal is looked up again, to tell whether it is a text."""
     zero = F.coalesce(v.try_cast("double") == 0, F.lit(False))
-    return v.isNotNull() & F.when(is_text, v != "").otherwise(~v.isin("false", "[]", "{}") & ~zero)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), f"$.{name}", "variant"))
+    return v.isNotNull() & (v != "") & F.when(v.isin("false", "[]", "{}") | zero, F.coalesce(kind == "STRING", F.lit(False))).otherwise(True)
 
 
 def _first_error(checks: list[tuple[Column, str]]) -> Column:
@@ -89,10 +91,9 @@ def parsed_feed_a(raw: DataFrame, *, stamp_now: bool = False) -> DataFrame:
     body = F.when(F.map_contains_key(F.col("_top"), F.lit("data")), F.col("_top")["data"]).otherwise(F.col("value"))
     df = _once(df, F.when(F.col("_top").isNotNull(), F.from_json(body, _MAP)), "_d")
     d = F.col("_d")
-    text_flag = body.rlike(r'"M"\s*:\s*"')
     keep = (F.col("_top").isNull() | d.isNull()
             | ((d["e"] == C.FEED_A_EVENT)
-               & (~F.map_contains_key(d, F.lit("M")) | _truthy(d["M"], text_flag))))
+               & (~F.map_contains_key(d, F.lit("M")) | _truthy(d["M"], body, "M"))))
     df = df.where(keep)
     typed = df.select(
         "value", "received_at", "_top", "_d",

@@ -152,16 +152,17 @@ def stream_double_bottom(trades: DataFrame, *, within_ms: int = C.PATTERN_WITHIN
                          after_match: str = "past_last_row", watermark: str = C.WATERMARK_DELAY,
                          time_col: str = "trade_time", price_col: str = "price",
                          id_col: str = "trade_id", symbol_col: str = "symbol") -> DataFrame:
-    """Streaming matches; emitted once, when their BREAK row is final."""
+    """Streaming matches; emitted once, when their BREAK row is final. Rows without a time are left out;
+    a null id sorts before all others, as in the batch form, and a null price ends a run."""
     if after_match not in ("past_last_row", "next_row"):
         raise ValueError(f"after_match must be past_last_row or next_row, not {after_match!r}")
     rows = (trades.select(
         F.col(symbol_col).alias("symbol"),
         F.timestamp_millis(F.col(time_col)).alias("ts"),
         F.col(time_col).cast("long").alias("ts_ms"),
-        F.col(id_col).cast("long").alias("tid"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-2 ** 63)).alias("tid"),
         F.col(price_col).cast("double").alias("price"))
-        .withWatermark("ts", watermark))
+        .where(F.col("ts").isNotNull()).withWatermark("ts", watermark))
     return rows.groupBy("symbol").applyInPandasWithState(
         make_matcher(within_ms, after_match), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
