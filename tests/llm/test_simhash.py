@@ -99,3 +99,14 @@ def test_components_of_a_path(spark):
     edges = spark.range(60).select((F.col("id") * 7919 % 61).alias("a"), ((F.col("id") + 1) * 7919 % 61).alias("b"))
     got = connected_components(edges).collect()
     assert {x.root for x in got} == {0} and len(got) == 61
+
+
+def test_rows_that_share_an_id(docs_of):
+    """Of rows with one id, each component is decided for itself; of equal rows one stays."""
+    a = " ".join(f"word{i}" for i in range(400))
+    near = a.replace("word7 ", "other ")
+    b = " ".join(f"thing{i * i}" for i in range(400))
+    docs = [(3, a), (5, near), (5, b), (7, b), (9, "alone " * 5), (9, "alone " * 5), (None, a)]
+    assert bin(slow_fingerprint(a) ^ slow_fingerprint(near)).count("1") <= 4
+    kept = sorted((x.doc_id or -1, x.text) for x in simhash.one_of_each(docs_of(docs)).collect())
+    assert kept == sorted([(3, a), (5, b), (9, "alone " * 5), (-1, a)])

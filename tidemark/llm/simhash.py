@@ -199,9 +199,19 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataF
 
 
 def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """The documents with one row kept of each component: that of its smallest
-    doc_id (of equal ids the first by text and the other columns). Rows with a null
-    doc_id cannot be told apart by it, so they stay."""
-    found = near_duplicates(docs.where("doc_id is not null"), words, distance)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    """The documents with one row kept of each component: that of its smallest doc_id, of rows
+    with one id the first by a hash of the whole row; of rows equal in all columns one. Rows with a null
+    doc_id cannot be told apart by it, so they stay.
+
+    Rows are named by (doc_id, hash of the row) in place of the id, so rows that share an
+    id but not a component are decided apart."""
+    row = F.xxhash64(*docs.columns)
+    named = docs.where("doc_id is not null").select(F.struct(F.col("doc_id").alias("id"), row.alias("row")).alias("doc_id"), "text")
+    found = near_duplicates(named, words, distance)
+    # one entry per kept row, with the number of rows equal to it
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("__same"))
+    kept = materialize(kept.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.row").alias("__row"), "__same"), "kept-documents")
+    chosen = docs.withColumn("__row_", row).join(kept, (F.col("doc_id") == F.col("__id")) & (F.col("__row_") == F.col("__row")))
+    several = chosen.where("__same > 1").dropDuplicates(["__id", "__row"])
+    return (docs.where("doc_id is null").unionByName(chosen.where("__same = 1").select(docs.columns))
+            .unionByName(several.select(docs.columns)))
