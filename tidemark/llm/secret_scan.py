@@ -36,7 +36,13 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 6  # characters of an assigned value
 
 MIN_TOKEN = 20
-TOKEN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}+={{0,2}}"
+#: A token is a whole run of one alphabet (of + and /, or of - and _). A run that mixes both, such as a path that ends in a key,
+#: fits no encoding as a whole and is cut: at each slash, then at each - or _ of a part that also has a +.
+_RUN = rf"{{{MIN_TOKEN},}}+"
+TOKEN = (rf"(?<![A-Za-z0-9+])(?=[A-Za-z0-9+/_-]{{{MIN_TOKEN}}})(?:"
+         rf"(?<![/_-])(?:[A-Za-z0-9+/]{_RUN}(?![_-])|[A-Za-z0-9_-]{_RUN}(?![+/]))"
+         rf"|(?<![_-])(?:[A-Za-z0-9_-]{_RUN}(?!\+)|[A-Za-z0-9+]{_RUN}(?![_-]))"
+         rf"|[A-Za-z0-9+]{_RUN})={{0,2}}")
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
 #: (test of the unpadded token, alphabet); the first that fits is the encoding
