@@ -54,6 +54,39 @@ def test_method_adds_random_tokens_only(docs_of):
             assert {s for s in slow_base(t)[2].split(",") if s} <= set(rows[i].split(","))
 
 
+def slow_tokens(text):
+    """Runs of one alphabet, of mixed runs their parts."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_-]+", text):
+        parts = [(m.start(), m[0])]
+        if set("+/") & set(m[0]) and set("-_") & set(m[0]):
+            parts = [(m.start() + p.start(), p[0]) for p in re.finditer(r"[^/]+", m[0])]
+            parts = [(a + p.start(), p[0]) for a, x in parts
+                     for p in re.finditer(r"[^-_]+" if "+" in x and set("-_") & set(x) else r".+", x)]
+        for at, x in parts:
+            if len(x) >= 20:
+                tail = re.match(r"={0,2}", text[at + len(x):])[0]
+                out.append((at, x + tail))
+    return out
+
+
+def test_tokens_of_mixed_runs(spark):
+    r = random.Random(6)
+    texts = [f"my-app/v1/{key(r, 32)} and {key(r, 24)}== x", key(r, 30) + "/" + key(r, 30), "a_b/" + key(r, 25) + "+/" + key(r, 25) + "-" + key(r, 21)]
+    texts += ["".join(r.choice(["a", "B7", "+", "/", "-", "_", "=", " ", "é", key(r, 19), key(r, 20), key(r, 23)]) for _ in range(r.randint(1, 14))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = secret_scan._located(F.col("t"), secret_scan._found(F.col("t"), secret_scan.TOKEN), secret_scan.TOKEN)
+    for x in df.select("t", found.alias("f")).collect():
+        assert [(s.start, s.match) for s in x.f] == slow_tokens(x.t), x.t
+
+
+def test_keys_behind_a_path(docs_of):
+    r = random.Random(8)
+    docs = [(i, f"see my-app/v1/{key(r, 32)} for it") for i in range(1, 21)] + [(100 + i, t) for i, (_, t) in enumerate(secret_docs()) if t and "er" in t]
+    rows = {x.doc_id: x.spans for x in secret_scan.find_secrets(docs_of(docs)).collect()}
+    assert sum("random:14:46" in rows[i] for i in range(1, 21)) >= 18
+
+
 def test_battery(spark):
     r = random.Random(9)
     tokens = {"hex": key(r, 40, "0123456789abcdef"), "b64": key(r, 44) + "==", "run": "a" * 30, "ordinary": "donaudampfschifffahrtsgesellschaft",
@@ -89,11 +122,10 @@ def slow_licenses(text):
     places = [(i, label) for i in range(len(words)) for p, label in PHRASES.items() if tuple(words[i:i + len(p)]) == p]
     base = {x for _, x in places}
     best, labels = float(bool(base)), set(base)
-    half = license_scan.BLOCK // 2
-    for at in range(0, max(1, len(words)), half):
-        block = set(words[at:at + license_scan.BLOCK])
-        for label, t in license_scan.template_sets(license_scan.TEMPLATES):
-            share = len(block & t) / len(t)
+    sets, sizes = license_scan.template_sets(license_scan.TEMPLATES), license_scan.block_sizes(license_scan.TEMPLATES)
+    for at in range(len(words)):
+        for (label, t), size in zip(sets, sizes):
+            share = len(set(words[at:at + size]) & t) / len(t)
             if share >= license_scan.CONTAINMENT - 1e-9:
                 labels.add(label)
                 best = max(best, share)
@@ -131,7 +163,7 @@ def test_licenses_at_every_word(docs_of):
     r = random.Random(4)
     vocabulary = sorted(set(slow_words(" ".join(t for texts in license_scan.TEMPLATES.values() for t in texts)))) + ["filler"]
     docs += [(1000 + i, " ".join(r.choice(vocabulary) for _ in range(150)) + " " + r.choice(license_scan.TEMPLATES["mit"]) + " filler" * 30) for i in range(40)]
-    got = {x.doc_id: x.labels.split(",") for x in license_scan.scan_licenses(docs_of(docs), templates, every=True).collect()}
+    got = {x.doc_id: x.labels.split(",") for x in license_scan.scan_licenses(docs_of(docs), templates).collect()}
     assert all("no-reuse" in got[200 + at] and "long" in got[300 + at] for at in range(16))
     sets, sizes = license_scan.template_sets(templates), license_scan.block_sizes(templates)
     assert sizes[[label for label, _ in sets].index("long")] == 90

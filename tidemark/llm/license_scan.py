@@ -1,11 +1,10 @@
 """License scan: exact set-similarity join of text blocks with notice templates.
 
 DataFrame expressions only. A block is a window of ``BLOCK`` words, or of twice a
-template's words if that is more, and begins at every word (``every=True``) or at every
-half block, where only a passage of up to half a block lies whole in one. A block
+template's words if that is more, and begins at every word. A block
 matches a template if it holds at least ``CONTAINMENT`` of the template's distinct words.
 
-Of the blocks at every word, those that begin at a template word, with a prefix
+Of these blocks, those that begin at a template word, with a prefix
 word (below) inside, are enough: one that begins at another word holds no more
 template words than the block that begins at its first template word.
 
@@ -105,20 +104,13 @@ def _every_block(words: Column, size: int, vocabulary: list[str], prefix: list[s
     return F.transform(held, lambda h: F.struct(F.lit(size).alias("block"), h.alias("held")))
 
 
-def _blocks(words: Column) -> Column:
-    half = BLOCK // 2
-    last = F.greatest(F.ceil((F.size(words) - BLOCK) / half), F.lit(0)).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(words, b * half + 1, BLOCK))
-
-
-def matching_blocks(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT,
-                    every: bool = False) -> DataFrame:
+def matching_blocks(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """text_digest, label, containment of every text block and template that
     meet the threshold; texts are named by their SHA-256, so copies do not multiply."""
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
     sets = template_sets(templates)
-    sizes = block_sizes(templates) if every else [BLOCK] * len(sets)
+    sizes = block_sizes(templates)
     order = word_order(docs, set().union(*(s for _, s in sets)))
     rank = {w: i for i, w in enumerate(order)}
     rows, prefix_words, by_size = [], set(), {}
@@ -137,17 +129,11 @@ def matching_blocks(docs: DataFrame, templates: dict[str, list[str]] | None = No
     held = (docs.select(text.alias("t")).where(F.col("t").rlike(_pattern(sorted(prefix_words))))
             .select(F.sha2("t", 256).alias("text_digest"), _all(_lower(F.col("t")), WORD + "+").alias("w")))
     # array_intersect keeps the order of its first side: the global order
-    if every:
-        ranked = lambda words: sorted(words, key=rank.get)
-        lists = [_every_block(F.col("w"), size, ranked(of), ranked(first)) for size, (of, first) in sorted(by_size.items())]
-        least = F.lit(min((r[-1] for r in rows), default=0))
-        sorted_blocks = (held.select("text_digest", F.explode(F.filter(F.concat(*lists), lambda b: F.size(b["held"]) >= least)).alias("b"))
-                         .select("text_digest", "b.block", "b.held").distinct())
-    else:
-        vocabulary = F.array(*[F.lit(w) for w in order])
-        blocks = held.select("text_digest", F.explode(_blocks(F.col("w"))).alias("block"))
-        sorted_blocks = (blocks.where(F.arrays_overlap("block", prefix))
-                         .select("text_digest", F.lit(BLOCK).alias("block"), F.array_intersect(vocabulary, "block").alias("held")).distinct())
+    ranked = lambda words: sorted(words, key=rank.get)
+    lists = [_every_block(F.col("w"), size, ranked(of), ranked(first)) for size, (of, first) in sorted(by_size.items())]
+    least = F.lit(min((r[-1] for r in rows), default=0))
+    sorted_blocks = (held.select("text_digest", F.explode(F.filter(F.concat(*lists), lambda b: F.size(b["held"]) >= least)).alias("b"))
+                     .select("text_digest", "b.block", "b.held").distinct())
     met = (sorted_blocks.select("text_digest", "block", "held", F.explode(F.array_intersect(prefix, "held")).alias("word"))
            .join(index, ["word", "block"])
            .where((F.size("held") >= F.col("need"))
@@ -158,13 +144,12 @@ def matching_blocks(docs: DataFrame, templates: dict[str, list[str]] | None = No
             .groupBy("text_digest", "label").agg(F.max("containment").alias("containment")))
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT,
-                  every: bool = False) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     The base columns tell of the fixed phrases; labels adds those of matching
     templates; score is the largest share of a phrase (1) or template found, 0 if
-    none. ``every``: blocks at every word. Null and empty texts have no words, null word places, empty labels."""
+    none. Null and empty texts have no words, null word places, empty labels."""
     phrase = rf"(?i)(?<!{WORD})(?:{'|'.join(p.replace(' ', GAP) for p in PHRASES)})(?!{WORD})"
     words_in = lambda c: F.regexp_count(c, F.lit(WORD + "+")).cast("long")
     first = docs.select("doc_id", whole_text().alias("t")).select("doc_id", "t", _all(F.col("t"), phrase).alias("found"))
@@ -175,7 +160,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None
                     words_in(F.col("gaps")[0]).alias("first_word"),
                     F.when(F.size("found") > 0, F.col("n_words") - words_in(F.element_at("gaps", -1)) - words_in(F.element_at("found", -1))).alias("last_word"),
                     F.array_sort(F.array_distinct(F.transform("found", _label))).alias("base_labels")))
-    more = (matching_blocks(docs, templates, containment, every).groupBy("text_digest")
+    more = (matching_blocks(docs, templates, containment).groupBy("text_digest")
             .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")))  # at most one entry per label
     none = F.expr("cast(array() as array<string>)")
     return base.join(more, "text_digest", "left").select(
