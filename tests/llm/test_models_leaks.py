@@ -92,9 +92,9 @@ def test_leaks(docs_of, spark):
             (14, ITEMS[1][1][:40]), (15, "short one"), (16, "Hh Ii Jj Kk Ll Mm Nn"), (17, ITEMS[1][1].replace("valley", "canyon"))] + [(i and 100 + i, t) for i, t in ODD]
     bench = spark.createDataFrame(ITEMS + [(None, "x y z x y z x y z")], "item_id long, text string")
     got = sorted((x.doc_id, x.item_id) for x in decontaminate.contaminated(docs_of(docs), bench).collect())
-    assert got == [(10, 1), (11, 1), (13, 2), (13, 2), (17, 2)]
+    assert got == [(10, 1), (11, 1), (13, 2), (13, 2), (15, 3), (17, 2)]
     kept = decontaminate.without_leaks(docs_of(docs), bench)
-    assert kept.columns == docs_of(docs).columns and kept.count() == len(docs) - 5
+    assert kept.columns == docs_of(docs).columns and kept.count() == len(docs) - 6
     assert decontaminate.contaminated(docs_of([]), bench).count() == 0
     assert decontaminate.contaminated(docs_of(docs), bench.limit(0)).count() == 0
 
@@ -131,9 +131,60 @@ def test_items_without_windows(docs_of, spark):
     fill = "some ordinary words that stand around"
     docs = [(1, f"{fill}: who wrote the Great Gatsby in America, {fill}"), (2, f"{fill} 12 34 56 78 90 11 13 14"), (3, f"{fill}. capital of France"),
             (4, "12 34 56 78 90 11 14"), (5, "Who Wrote The Great Gatsby In Canada"), (6, "capital of"), (7, f"{ITEMS[1][1]} Jane Austen wrote Emma and Persuasion")]
-    found = lambda **k: sorted((x.doc_id, x.item_id) for x in decontaminate.contaminated(docs_of(docs), bench, **k).collect())
-    assert found(shortest=1) == [(1, 1), (2, 2), (3, 3), (7, 5)]
-    assert found() == [(1, 1), (2, 2), (7, 5)]
+    found = lambda: sorted((x.doc_id, x.item_id) for x in decontaminate.contaminated(docs_of(docs), bench).collect())
+    assert found() == [(1, 1), (2, 2), (3, 3), (7, 5)]
+
+
+def slow_leaks(docs, items, coverage=0.6):
+    """Pairs of text and item by their windows alone, for items without slots."""
+    def windows(text):
+        _, _, slot, h, usable = decontaminate.templates(text)
+        assert not slot.any()
+        return set(h[usable].tolist())
+
+    held = [(i, windows(t)) for i, t in items]
+    return sorted((d, i) for d, t in docs for i, w in held if w and len(w & windows(t)) / len(w) >= coverage)
+
+
+def test_random_texts_against_brute_force(docs_of, spark):
+    r = random.Random(11)
+    words = [a + b for a in ("ba", "du", "ke", "lo", "mi") for b in ("ra", "ten", "vo", "sul")]
+    items = [(i, " ".join(r.choice(words) for _ in range(r.randint(8, 30)))) for i in range(40)]
+    shared = " ".join(r.choice(words) for _ in range(12))
+    items += [(100 + i, f"{shared} " + " ".join(r.choice(words) for _ in range(r.randint(0, 12)))) for i in range(20)]
+    docs = []
+    for d in range(120):
+        _, text = r.choice(items)
+        cut = text.split()
+        for _ in range(r.randint(0, 4)):
+            cut[r.randrange(len(cut))] = r.choice(words)
+        docs.append((d, " ".join([r.choice(words) for _ in range(r.randint(0, 9))] + cut + shared.split() * r.randint(0, 1))))
+    got = decontaminate.contaminated(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = slow_leaks(docs, items)
+    assert sorted((x.doc_id, x.item_id) for x in got) == want and len(want) > 60
+
+
+def test_shared_sentences_do_not_pair_all(docs_of, spark, monkeypatch):
+    """Items and documents that share one sentence meet only where rarer windows do."""
+    shared = "please read the whole question below and then choose the best of all answers"
+    stored, materialize = {}, decontaminate.materialize
+
+    def counted(df, name, *a):
+        out = materialize(df, name, *a)
+        stored[name] = out.count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "materialize", counted)
+    rows = {}
+    for n in (100, 200, 400, 800):
+        r = random.Random(n)
+        word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(4))
+        items = [(i, shared + " " + " ".join(word() for _ in range(30))) for i in range(n)]
+        docs = [(i, shared + " " + " ".join(word() for _ in range(30))) for i in range(n)] + [(10_000, items[0][1])]
+        got = decontaminate.contaminated(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert [(x.doc_id, x.item_id) for x in got] == [(10_000, 0)]
+        rows[n] = (stored["candidates"], stored["met-windows"])
+    assert all(c == 1 and m == rows[100][1] for c, m in rows.values())
 
 
 def test_windows_against_brute_force():

@@ -14,6 +14,10 @@ words of their own are left out on both sides: placeholders alone tell nothing.
 An item without such a window is held by a document that has its whole sequence of
 tokens, with the values they have (upper and lower case are equal); ``shortest`` is the
 least number of tokens of items searched this way.
+
+An item of n windows that needs m of them shares at least one of any n - m + 1: its rarest ones in
+the documents find the candidates, and only candidate pairs of text and item meet in all windows. So a window
+that many items and many documents share does not pair them all.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, whole_text
@@ -195,7 +199,7 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = WINDOW) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = 1) -> DataFrame:
     """(text_digest, item_id, n_windows, coverage) of every document text that
     holds at least ``coverage`` of an item's windows with consistent slot values.
 
@@ -216,8 +220,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, sho
     places = known.join(once, ["item_id", "hash", "asked"]).withColumn("first", F.col("first") == F.col("at"))
     texts = docs.select(whole_text().alias("text")).select(F.sha2("text", 256).alias("text_digest"), "text")
     found = materialize(_windows(texts, "text_digest", bitmap).dropDuplicates(["text_digest", "position", "hash"]), "document-windows")
-    met = materialize(found.join(places, "hash").select("text_digest", "item_id", "hash", "position", "at", "first", "asked", "slots"), "met-windows")
     pair = ["text_digest", "item_id"]
+    # candidates: texts that hold one of the n - m + 1 windows of the item that are rarest in the documents
+    counts = materialize(found.groupBy("hash").agg(F.count("*").alias("seen")), "window-counts")  # at most one row per window of the benchmark
+    ranked = (known.select("item_id", "hash").distinct().join(counts, "hash", "left").join(sizes, "item_id")
+              .withColumn("rank", F.row_number().over(Window.partitionBy("item_id").orderBy(F.coalesce("seen", F.lit(0)), "hash"))))
+    rare = ranked.where((F.col("rank") <= F.col("size") - F.ceil(F.col("size") * coverage - 1e-9) + 1) & F.col("seen").isNotNull()).select("item_id", "hash")
+    candidates = materialize(found.select("text_digest", "hash").distinct().join(rare, "hash").select(*pair).distinct(), "candidates")
+    met = (candidates.join(places.hint("merge"), "item_id").hint("merge")
+           .join(found.hint("merge"), ["text_digest", "hash"]))
+    met = materialize(met.select("text_digest", "item_id", "hash", "position", "at", "first", "asked", "slots"), "met-windows")
     # only texts that hold enough of an item's windows, whatever their values, can leak it
     enough = (met.groupBy(*pair).agg(F.countDistinct("hash").alias("n")).join(sizes, "item_id")
               .where(F.col("n") / F.col("size") >= coverage).select(*pair, "extent"))
@@ -225,7 +237,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, sho
     alone = [F.struct(F.lit(k).alias("kind"), F.floor(c).cast("int").alias("where")) for k, c in (
         (1, apart), (2, apart / F.col("extent")), (3, apart / F.col("extent") + 0.5))]
     everywhere = F.struct(F.lit(0).alias("kind"), F.lit(0).alias("where"))
-    side = (met.join(enough, pair).select("*", F.explode(F.when(F.col("first"), F.array(everywhere, *alone)).otherwise(F.array(*alone))).alias("side"))
+    side = (met.join(enough.hint("merge"), pair).select("*", F.explode(F.when(F.col("first"), F.array(everywhere, *alone)).otherwise(F.array(*alone))).alias("side"))
             .select(*pair, "side", "hash", "asked", "slots"))
     key = [*pair, "side"]
     # value of the item -> most frequent value of the document
@@ -234,7 +246,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, sho
     chosen = (votes.groupBy(*key, "a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
               .groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("map")))  # an item's values
     agree = F.forall(F.arrays_zip(F.col("asked").alias("a"), F.col("slots").alias("b")), lambda z: F.element_at("map", z["a"]) == z["b"])
-    good = (side.join(chosen, key, "left").where(F.col("map").isNull() | (F.col("asked") == F.col("slots")) | agree)
+    good = (side.join(chosen.hint("merge"), key, "left").where(F.col("map").isNull() | (F.col("asked") == F.col("slots")) | agree)
             .groupBy(*key).agg(F.countDistinct("hash").alias("n_windows"))
             .groupBy(*pair).agg(F.max("n_windows").alias("n_windows")))
     held = (good.join(sizes, "item_id").withColumn("coverage", F.col("n_windows") / F.col("size"))
@@ -247,14 +259,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, sho
     return best.select(*pair, "best.n_windows", "best.coverage")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = WINDOW) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = 1) -> DataFrame:
     """doc_id, item_id, n_windows, coverage: one row per leaking document row and
     item. Clean documents give no row. Null and empty texts have no windows."""
     named = docs.select("doc_id", F.sha2(whole_text(), 256).alias("text_digest"))
     return named.join(leaks(docs, benchmark, coverage, shortest), "text_digest").select("doc_id", "item_id", "n_windows", "coverage")
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = WINDOW) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = 1) -> DataFrame:
     """The documents that leak no item, with their columns."""
     found = materialize(leaks(docs, benchmark, coverage, shortest).select(F.col("text_digest").alias("__digest")).distinct(), "leaking-texts")
     marked = docs.withColumn("__digest", F.sha2(whole_text(), 256))
