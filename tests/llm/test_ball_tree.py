@@ -58,6 +58,32 @@ def test_bounds_prune():
     assert [sorted(score[of == i].tolist(), reverse=True) for i in range(3)] == want
 
 
+def test_root_bounds_drop_pairs(spark, monkeypatch):
+    """Queries go on only to shards whose root ball can hold better rows; nothing is lost."""
+    monkeypatch.setattr(ball_tree, "SHARD_ROWS", 60)
+    monkeypatch.setattr(ball_tree, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(ball_tree, "ROOTS", 3)
+    r = np.random.default_rng(5)
+    directions = r.normal(size=(8, 12)) * 8
+    rows = [(i, [float(x) for x in directions[i % 8] + r.normal(size=12) * 0.2]) for i in range(800)]
+    stored, materialize = {}, ball_tree.materialize
+
+    def counted(df, name, *a):
+        out = materialize(df, name, *a)
+        stored[name] = out.count()
+        if name == "reached-shards":
+            stored["exchanged"] = out.columns
+        return out
+
+    monkeypatch.setattr(ball_tree, "materialize", counted)
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, rank int")
+    got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in ball_tree.top_k(df, F.col("vec_id") % 20 == 0, 5).collect())
+    assert got == slow_top(rows, 5)
+    possible = stored["query-blocks"] * (stored["ball-trees"] - 1)
+    assert stored["ball-trees"] >= 10 and stored["reached-shards"] < possible / 2
+    assert stored["exchanged"] == ["shard", "block_no", "blob"]  # no tree
+
+
 def test_overflow_is_an_error():
     tree = ball_tree.BallTree(np.arange(2), np.array([[2 ** 40] * 2, [1, 1]]))
     with pytest.raises(OverflowError):

@@ -1,15 +1,15 @@
 """Exact top-k inner products by ball-tree branch and bound per shard.
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` rows; each shard becomes one
-row that holds its ball tree. Queries are dealt to blocks of about ``BLOCK_ROWS``.
-A block first searches one shard, which gives every query a current kth score. The
-scores are shared with the search of all other shards: a node is left out for the
-queries whose kth score exceeds the node's upper bound q.c + |q| r, and nodes are
-visited by falling bound, so that the kth score rises early. Only rows that reach
-the shared score leave a shard.
-
-The stated query set meets all rows, in blocks: shards x blocks tasks, each of
-bounded size. Scores are integers and exact; bounds get a margin above rounding.
+Vectors are dealt to shards of about ``SHARD_ROWS`` rows by direction (the nearest of a few sampled
+vectors), so that a shard's root ball is small; each shard becomes one row that holds its
+ball tree. Queries are dealt to blocks of about ``BLOCK_ROWS`` in the same way. A block first searches one shard
+of its own direction, which gives every query a current kth score. With these scores the root balls of all other
+shards are tested: a query goes on to a shard only if the root's upper bound reaches its kth score. The
+same bound, q.c + |q| r, then leaves out nodes inside the shard, which are visited by falling bound, so that
+the kth score rises early. Only rows that reach the shared score leave a shard.
+
+A tree moves once per search to the tasks of its shard; what moves per pair of block and shard are the queries
+that are left. Every task is of bounded size. Scores are integers and exact; bounds get a margin above rounding.
 """
 
 from __future__ import annotations
@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import pieces_of
-from tidemark.session import materialize
+from tidemark.session import delete_path, materialize, scratch_path
 
 SHARD_ROWS = 16384
 BLOCK_ROWS = 2048
 LEAF_ROWS = 128
+PIVOTS = 256  # directions that vectors are dealt by, at most
+ROOTS = 4096  # root balls that a block is tested against at once
 NONE = np.iinfo(np.int64).min + 1  # its negation is a long too
 
 
@@ -116,10 +118,6 @@ class BallTree:
         return of, ids[of, place], scores[of, place]
 
 
-def _dealt(rows: DataFrame, per: int, salt: int) -> DataFrame:
-    return rows.withColumn("at", F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(pieces_of(rows.count(), per))).cast("int"))
-
-
 def _matrix(batch) -> np.ndarray:
     col = batch.column("q").combine_chunks()
     flat = np.asarray(col.flatten())
@@ -128,34 +126,96 @@ def _matrix(batch) -> np.ndarray:
     return flat.reshape(len(col), -1)
 
 
-def _per_piece(rows: DataFrame, make) -> DataFrame:
-    """(at, blob) with one row for each piece: ``make(ids, matrix)``, pickled."""
+def _per_piece(rows: DataFrame, make, more: str = "") -> DataFrame:
+    """(at, blob, ...) with one row for each piece: ``make(ids, matrix)`` gives what is pickled and further columns."""
     def build(t: pa.Table) -> pa.Table:
-        blob = pickle.dumps(make(np.asarray(t.column("vec_id")), _matrix(t)), protocol=5)
-        return pa.table({"at": t.column("at").slice(0, 1), "blob": pa.array([blob], pa.binary())})
+        held, extra = make(np.asarray(t.column("vec_id")), _matrix(t))
+        blob = pickle.dumps(held, protocol=5)
+        return pa.table({"at": t.column("at").slice(0, 1), "blob": pa.array([blob], pa.binary()), **extra})
+
+    return rows.select("at", "vec_id", "q").groupBy("at").applyInArrow(build, "at int, blob binary" + more)
+
+
+def _tree(ids: np.ndarray, rows: np.ndarray):
+    tree = BallTree(ids, rows)
+    return tree, {"centre": pa.array([tree.centres[0].tolist()], pa.list_(pa.float64())), "radius": pa.array([tree.radii[0]])}
+
+
+def _directed(rows: DataFrame, n_pieces: int) -> DataFrame:
+    """``rows`` with ``pivot``, the place of the sampled vector of the nearest direction (0 for a zero vector)."""
+    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(min(PIVOTS, n_pieces)).select("q").collect()  # at most PIVOTS vectors
+    if len({len(r["q"]) for r in sample}) > 1:
+        raise ValueError("vectors of different lengths")
+    pivots = np.array([r["q"] for r in sample], float)
+    pivots /= np.maximum(np.sqrt((pivots ** 2).sum(1, keepdims=True)), 1e-300)
+
+    def nearest(batches):
+        for b in batches:
+            if b.num_rows:
+                place = (_matrix(pa.Table.from_batches([b])).astype(float) @ pivots.T).argmax(1)
+                yield pa.record_batch([*b.columns, pa.array(place.astype(np.int32))], names=["vec_id", "q", "pivot"])
 
-    return rows.groupBy("at").applyInArrow(build, "at int, blob binary")
+    return rows.select("vec_id", "q").mapInArrow(nearest, "vec_id long, q array<long>, pivot int")
 
 
-def _search(pairs: DataFrame, k: int) -> DataFrame:
-    """pairs: tree, block, and ``floors``, the current kth score of the block's
-    queries by place (null: none yet)."""
+def _dealt(rows: DataFrame, counts: dict[int, int], per: int, salt: int) -> tuple[DataFrame, dict[int, tuple[int, int]], int]:
+    """``rows`` with ``at``, a piece of about ``per`` rows of one pivot; the first piece and the pieces of
+    each pivot; the number of pieces."""
+    pieces, total = {}, 0
+    for pivot in sorted(counts):
+        pieces[pivot] = (total, pieces_of(counts[pivot], per))
+        total += pieces[pivot][1]
+    at = lambda k: F.element_at(F.array(*[F.lit(pieces.get(p, (0, 1))[k]) for p in range(max(pieces) + 1)]), F.col("pivot") + 1)
+    return rows.withColumn("at", (at(0) + F.pmod(F.xxhash64("vec_id", F.lit(salt)), at(1))).cast("int")), pieces, total
+
+
+def _search(trees: DataFrame, pairs: DataFrame, k: int, copies: int, tasks: int) -> DataFrame:
+    """Search of ``pairs`` (shard, block_no, blob of the queries: ids, vectors, places, current kth scores). A shard's tree
+    and its pairs meet in ``copies`` tasks, the tree ahead of the pairs."""
+    shard_trees = (trees.select(F.col("at").alias("shard"), F.lit(-1).alias("block_no"), "blob")
+                   .join(pairs.select("shard").distinct(), "shard", "left_semi")
+                   .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))))
+    asked = pairs.select("shard", "block_no", "blob", F.pmod(F.xxhash64("block_no"), F.lit(copies)).cast("int").alias("copy"))
+    rows = (shard_trees.unionByName(asked).repartition(tasks, "shard", "copy").sortWithinPartitions("shard", "copy", "block_no"))
+
     def run(batches):
-        last, tree = None, None
+        tree = None
         for b in batches:
-            for shard, blob, block, floors in zip(b.column("shard"), b.column("tree"), b.column("block"), b.column("floors")):
-                if shard.as_py() != last:
-                    last, tree = shard.as_py(), pickle.loads(blob.as_py())
-                ids, rows = pickle.loads(block.as_py())
-                floor = np.full(len(ids), NONE, np.int64)
-                if floors.is_valid:
-                    known = floors.as_py()
-                    floor[[f["place"] for f in known]] = [f["kth"] for f in known]
-                of, found, score = tree.search(ids, rows, k, floor)
-                yield pa.record_batch([pa.array(ids[of]), pa.array(of.astype(np.int32)), pa.array(found), pa.array(score)],
-                                      names=["query_id", "place", "vec_id", "score"])
+            for block, blob in zip(b.column("block_no").to_pylist(), b.column("blob")):
+                if block < 0:
+                    tree = pickle.loads(blob.as_py())
+                    continue
+                ids, queries, place, floor = pickle.loads(blob.as_py())
+                of, found, score = tree.search(ids, queries, k, floor)
+                yield pa.record_batch([pa.array(ids[of]), pa.array(np.full(len(of), block, np.int32)), pa.array(place[of].astype(np.int32)), pa.array(found),
+                                       pa.array(score)], names=["query_id", "block_no", "place", "vec_id", "score"])
 
-    return pairs.select("shard", "tree", "block", "floors").mapInArrow(run, "query_id long, place int, vec_id long, score long")
+    return rows.select("block_no", "blob").mapInArrow(run, "query_id long, block_no int, place int, vec_id long, score long")
+
+
+def _reached(blocks: DataFrame, roots: DataFrame) -> DataFrame:
+    """(shard, block_no, blob): for each block (block_no, home, blob, known: kth scores by place) the queries that
+    can still find something in a shard other than ``home``. ``roots``: (part, root balls of at most ``ROOTS`` shards)."""
+    def test(batches):
+        for b in batches:
+            for block, home, blob, known, part in zip(*(b.column(c) for c in ("block_no", "home", "blob", "known", "balls"))):
+                ids, queries, place, floor = pickle.loads(blob.as_py())
+                for f in known.as_py() or []:
+                    floor[f["place"]] = f["kth"]
+                shards, centres, radii = pickle.loads(part.as_py())
+                q = queries.astype(float)
+                bounds = q @ centres.T + np.sqrt((q ** 2).sum(1))[:, None] * radii
+                bounds += 1 + np.abs(bounds) * 1e-9
+                live = bounds >= floor[:, None]
+                live[:, shards == home.as_py()] = False
+                for j in np.flatnonzero(live.any(0)):
+                    of = live[:, j]
+                    left = pickle.dumps((ids[of], queries[of], place[of], floor[of]), protocol=5)
+                    yield pa.record_batch([pa.array([shards[j]], pa.int32()), pa.array([block.as_py()], pa.int32()), pa.array([left], pa.binary())],
+                                          names=["shard", "block_no", "blob"])
+
+    return (blocks.join(roots, "part").select("block_no", "home", "blob", "known", "balls")
+            .mapInArrow(test, "shard int, block_no int, blob binary"))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, vec: str = "embedding", scale: int = 64) -> DataFrame:
@@ -163,30 +223,52 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, vec: str = "embeddi
     of each query with every row but its own, ties to the smaller vec_id; all if there are fewer.
 
     ``vec_id`` names a vector: of rows with one id the vector that sorts first
-    counts. See ``quantised`` for the rows that take no part."""
+    counts. See ``quantised`` for the rows that take no part. Intermediate tables are deleted, the result is stored."""
     spark = vectors.sparkSession
-    ready = materialize(quantised(vectors, vec, scale).groupBy("vec_id").agg(F.min("q").alias("q")), "vectors")
-    trees = materialize(_per_piece(_dealt(ready, SHARD_ROWS, 1), lambda ids, rows: BallTree(ids, rows)), "ball-trees")
-    queries = ready.where(is_query)
-    blocks = materialize(_per_piece(_dealt(queries, BLOCK_ROWS, 2), lambda ids, rows: (ids, rows)), "query-blocks")
-    shards = trees.select(F.col("at").alias("shard"), F.col("blob").alias("tree"))
-    n_shards, n_blocks = trees.count(), blocks.count()
-    if not n_shards or not n_blocks:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    numbers = trees.select(F.col("at").alias("shard"), (F.row_number().over(Window.orderBy("at")) - 1).alias("no"))  # one row per shard
-    met = (blocks.select(F.col("at").alias("block_no"), F.col("blob").alias("block"))
-           .withColumn("no", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))))
-    home = F.pmod(F.col("block_no"), F.lit(n_shards))
-    named = lambda rows, floors: (rows.join(numbers, "no").withColumn("floors", floors).join(shards, "shard")
-                                  .repartition(min(n_shards * n_blocks, 4096), "shard", "block_no").sortWithinPartitions("shard"))
-    floors_type = "array<struct<place:int,kth:bigint>>"
-    first = materialize(_search(named(met.where(F.col("no") == home), F.lit(None).cast(floors_type)), k), "first-shard")
-    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = (first.withColumn("r", F.row_number().over(by_query)).where(F.col("r") == k)
-           .select("query_id", F.struct("place", F.col("score").alias("kth")).alias("f")))
-    block_of = _dealt(queries, BLOCK_ROWS, 2).select(F.col("vec_id").alias("query_id"), F.col("at").alias("block_no"))
-    floors = kth.join(block_of, "query_id").groupBy("block_no").agg(F.collect_list("f").alias("known"))  # at most a block
-    rest = met.where(F.col("no") != home).join(floors, "block_no", "left")
-    second = _search(named(rest, F.col("known")), k)
-    return (first.unionByName(second).withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    paths: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        return materialize(df, name, paths[-1])
+
+    try:
+        ready = keep(quantised(vectors, vec, scale).groupBy("vec_id").agg(F.min("q").alias("q")), "vectors")
+        n = ready.count()
+        if not n:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        dealt = keep(_directed(ready, pieces_of(n, SHARD_ROWS)).withColumn("asks", F.coalesce(is_query, F.lit(False))), "directed")
+        counts = dealt.groupBy("pivot").agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("q")).collect()  # a row per pivot
+        asked = {r["pivot"]: r["q"] for r in counts if r["q"]}
+        if not asked:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        rows, shards_of, n_shards = _dealt(dealt, {r["pivot"]: r["n"] for r in counts}, SHARD_ROWS, 1)
+        queries, blocks_of, n_blocks = _dealt(dealt.where("asks"), asked, BLOCK_ROWS, 2)
+        trees = keep(_per_piece(rows, _tree, ", centre array<double>, radius double"), "ball-trees")
+        blocks = keep(_per_piece(queries, lambda ids, q: ((ids, q, np.arange(len(ids)), np.full(len(ids), NONE, np.int64)), {})), "query-blocks")
+        # a block's home: a shard of its pivot
+        home = {first + j: shards_of[p][0] + j % shards_of[p][1] for p, (first, pieces) in blocks_of.items() for j in range(pieces)}
+        homes = spark.createDataFrame(list(home.items()), "at int, home int")  # a row per block
+        blocks = blocks.join(homes, "at").withColumnRenamed("at", "block_no")
+        width = 2 * spark.sparkContext.defaultParallelism
+        copies, tasks = max(1, min(n_blocks, -(-width // n_shards))), max(width, min(n_shards, 4096))
+        first = keep(_search(trees, blocks.select(F.col("home").alias("shard"), "block_no", "blob"), k, copies, tasks), "home-shards")
+        by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        kth = first.withColumn("r", F.row_number().over(by_query)).where(F.col("r") == k)
+        known = kth.groupBy("block_no").agg(F.collect_list(F.struct("place", F.col("score").alias("kth"))).alias("known"))  # at most a block
+        balls = (trees.select("at", "centre", "radius", F.floor(F.col("at") / ROOTS).cast("int").alias("part"))
+                 .groupBy("part").applyInArrow(_packed_roots, "part int, balls binary"))
+        parts = F.explode(F.sequence(F.lit(0), F.lit((n_shards - 1) // ROOTS)))
+        pairs = keep(_reached(blocks.join(known, "block_no", "left").withColumn("part", parts), balls), "reached-shards")
+        found = first.unionByName(_search(trees, pairs, k, copies, tasks))
+        path = scratch_path(spark, "top-k")
+        return materialize(found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+                           .select("query_id", "rank", "vec_id", "score"), "top-k", path)
+    finally:
+        for path in paths:
+            delete_path(spark, path)
+
+
+def _packed_roots(t: pa.Table) -> pa.Table:
+    centres = np.array(t.column("centre").to_pylist(), float)
+    blob = pickle.dumps((np.asarray(t.column("at")), centres, np.asarray(t.column("radius"))), protocol=5)
+    return pa.table({"part": t.column("part").slice(0, 1), "balls": pa.array([blob], pa.binary())})
