@@ -93,3 +93,29 @@ def test_window_state_ends_with_the_watermark(spark, tmp_dir, batches):
     assert len({r.window_start for r in open_}) <= 2
     names = {r.operatorName for r in state_audit.operators(spark, ck).collect()}
     assert names == {"stateStoreSave"}
+
+
+def test_late_rows_are_counted_per_batch(spark, tmp_dir):
+    """Rows of closed windows by batch; rows that are late but whose window is open are not among them."""
+    src, ck = tmp_dir + "/a", tmp_dir + "/ck"
+    batches = [[("BTCUSDT", T0 + 1_000, 1, 100, 1), ("BTCUSDT", T0 + 320_000, 2, 200, 1)],
+               [("BTCUSDT", T0 + 2_000, 3, 1, 1), ("BTCUSDT", T0 + 3_000, 4, 1, 1), ("ETHUSDT", T0 + 299_999, 5, 1, 1), ("BTCUSDT", T0 + 305_000, 6, 5, 1),
+                ("BTCUSDT", T0 + 900_000, 7, 5, 1)],
+               [("BTCUSDT", T0 + 310_000, 8, 5, 1), ("BTCUSDT", T0 + 890_000, 9, 5, 1), ("BTCUSDT", T0 + 910_000, 10, 5, 1)]]
+    for rows in batches:
+        _append(trades_a(spark, rows), src)
+        jobs.vwap_job(feeds.read_trades_a(spark, src, stream=True), tmp_dir + "/out", checkpoint=ck, trigger=ONCE).awaitTermination()
+    trades = feeds.read_trades_a(spark, src)
+    late = state_audit.late_rows(spark, ck, trades).collect()
+    by_input = {}
+    for r in late:
+        by_input.setdefault(r.batch, []).append((r.symbol, ms(str(r.window_start)) - T0, r["rows"]))
+    assert [sorted(by_input[b]) for b in sorted(by_input)] == [[("BTCUSDT", 0, 2), ("ETHUSDT", 0, 1)], [("BTCUSDT", 300_000, 1)]]
+    # every row is in a written window, late, or in a window that is still open
+    written = sum(r.trade_count for r in spark.read.parquet(tmp_dir + "/out").collect())
+    open_from = min(ms(str(r.window_start)) for r in state_audit.window_state(spark, ck).collect())
+    still_open = sum(t >= open_from for rows in batches for _, t, *_ in rows)
+    assert written + sum(r["rows"] for r in late) + still_open == sum(map(len, batches))
+    for _ in range(2):
+        state_audit.record_late_rows(spark, ck, trades, tmp_dir + "/late")
+    assert spark.read.parquet(tmp_dir + "/late").agg({"rows": "sum"}).first()[0] == sum(r["rows"] for r in late)
