@@ -76,8 +76,43 @@ def test_report_against_brute_force(docs_of, monkeypatch, group, batch):
     assert report(docs_of, docs, 20) == slow_report(docs, 20)
 
 
+@pytest.mark.parametrize("group", [2, 6, 25])
+def test_hot_passages_against_brute_force(docs_of, monkeypatch, group):
+    """Passages in many different surroundings, also when parts are cut to single columns."""
+    monkeypatch.setattr(repeats, "GROUP", group)
+    r = random.Random(group)
+    word = lambda: "".join(r.choice("abcdé") for _ in range(r.randint(1, 6)))
+    hot, other = " ".join(word() for _ in range(25)), " ".join(word() for _ in range(12))
+    docs = [(i, " ".join(word() for _ in range(8)) + " " + hot + " " + " ".join(word() for _ in range(8)) + (other if i % 3 == 0 else "")) for i in range(90)]
+    docs += [(200 + i, r.choice("xyz") + hot + r.choice("xyz") * 30) for i in range(40)] + corpus(group, 20)
+    assert report(docs_of, docs, 20) == slow_report(docs, 20)
+
+
+def test_a_hot_passage_is_not_gathered(docs_of, monkeypatch):
+    """One passage in thousands of surroundings: what a task sorts together stays within the bound."""
+    monkeypatch.setattr(repeats, "GROUP", 50)
+    monkeypatch.setattr(repeats, "BATCH", 1)
+    r = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hot = "".join(r.choice(letters) for _ in range(300))
+    docs = [(i, "".join(r.choice(letters) for _ in range(60)) + hot + "".join(r.choice(letters) for _ in range(60))) for i in range(3000)]
+    stored, materialize = {}, repeats.materialize
+
+    def counted(df, name, *a):
+        out = materialize(df, name, *a)
+        if name in ("pieces", "different-pieces", "part-sizes"):
+            stored[name] = out.count()
+            stored["largest"] = max(stored.get("largest", 0), out.where("k <= 50").agg({"k": "max"}).first()[0] or 0) if name == "part-sizes" else 0
+        return out
+
+    monkeypatch.setattr(repeats, "materialize", counted)
+    rows = report(docs_of, docs, 200)
+    assert rows == slow_report(docs, 200) and min(x[2] for x in rows) >= 300
+    assert stored["different-pieces"] < 0.7 * stored["pieces"] and stored["largest"] <= 50
+
+
 def test_full_length_and_odd_rows(docs_of):
-    docs = [d for d in ODD if len(d[1] or "") < 9000] + [(20 + i, "p" * i + " and a passage of some length " * 9 + str(i) * 230) for i in range(4)]
+    docs = ODD + [(20 + i, "p" * i + " and a passage of some length " * 9 + str(i) * 230) for i in range(4)]
     assert report(docs_of, docs, 200) == slow_report(docs, 200)
 
 

@@ -24,7 +24,11 @@ order over the whole corpus is one task's work. So the work is cut by content:
 Equal texts are one text with a count, and equal segments of one gram one segment with
 a count, before anything is gathered. A group of more than ``GROUP`` distinct segments
 is cut by columns: strings that begin in a range of columns share the bytes that
-all of the range cover, so the range and a hash of those bytes make a smaller group.
+all of the range cover, so the range and a hash of those bytes make a smaller group, a part. A hot
+passage in ever different surroundings gives such a part many pieces all the same: equal pieces are counted,
+combined before the shuffle, and one of each is sorted. A part that still has more than ``GROUP`` different
+pieces, at the edges of such a passage, is cut on to single columns, where strings are counted by a 128-bit hash.
+No task gathers more than whole parts of up to ``GROUP`` pieces.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, whole_text
-from tidemark.session import materialize
+from tidemark.session import delete_path, materialize, scratch_path
 
 LENGTH = 200
 GRAM = 64
@@ -143,15 +147,15 @@ def repeated_starts(rows: list[bytes], shift: np.ndarray, length: int = LENGTH):
     return np.concatenate([*out_row, none]).astype(np.int64), np.concatenate([*out_col, none]).astype(np.int64)
 
 
-def distinct_texts(docs: DataFrame) -> tuple[DataFrame, str]:
-    """(digest, body, copies) of the distinct texts, stored in buckets by digest so
-    that later joins do not move the texts again."""
+def distinct_texts(docs: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """(digest, body, copies) of the distinct texts, stored at ``path`` in buckets by digest so
+    that later joins do not move the texts again; the second result names the table."""
     spark = docs.sparkSession
     rows = small_batches(docs).select(F.encode(whole_text(), "utf-8").alias("body")).withColumn("digest", F.unhex(F.sha2("body", 256)))
     texts = rows.groupBy("digest").agg(F.first("body").alias("body"), F.count("*").alias("copies"))
     name = "repeats_" + uuid.uuid4().hex[:12]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts.write.bucketBy(buckets, "digest").sortBy("digest").option("compression", "zstd").saveAsTable(name)
+    texts.write.bucketBy(buckets, "digest").sortBy("digest").option("compression", "zstd").option("path", path).saveAsTable(name)
     return spark.table(name), name
 
 
@@ -199,12 +203,14 @@ def _segment_names(texts: DataFrame, wanted: DataFrame, length: int) -> DataFram
             .mapInArrow(name, "digest binary, gram long, low int, name binary, place int, high int"))
 
 
-def _sorted_columns(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
-    """(gram, low, name, a, b): ranges of columns in which a segment's strings
-    stand also in another segment of its gram. ``members``: one place of each segment
-    (digest, place) and ``step``, the columns of each part of a large group (0: one part)."""
-    schema = "part long, gram long, low int, name binary, shift int, bytes binary"
+_PIECES = "part long, gram long, low int, name binary, shift int, bytes binary"
+_RANGES = "gram long, low int, name binary, a int, b int"
+
 
+def _cut_pieces(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
+    """The segments of ``members`` cut into the pieces of their parts: a piece at column ``shift`` has
+    the bytes of the strings that begin in its range of columns. ``members``: one place of each segment
+    (digest, place) and ``step``, the columns of each part of a large group (0: one part)."""
     def cut(batches):
         for b in batches:
             out = []
@@ -224,6 +230,13 @@ def _sorted_columns(texts: DataFrame, members: DataFrame, length: int) -> DataFr
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["part", "gram", "low", "name", "shift", "bytes"])
 
+    return (texts.select("digest", "body").join(_per_text(members, ["gram", "low", "high", "name", "place", "step"]), "digest")
+            .mapInArrow(cut, _PIECES))
+
+
+def _sorted_columns(pieces: DataFrame, length: int) -> DataFrame:
+    """(gram, low, name, a, b): ranges of columns in which a piece's strings stand also in another
+    piece of its part; (gram, low, name) name the pieces."""
     def sort(batches):
         held, size = [], 0
         for b in batches:
@@ -239,11 +252,41 @@ def _sorted_columns(texts: DataFrame, members: DataFrame, length: int) -> DataFr
         if size:
             yield from _one_collection(pa.Table.from_batches(held), length)
 
-    spark = texts.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = (texts.select("digest", "body").join(_per_text(members, ["gram", "low", "high", "name", "place", "step"]), "digest")
-            .mapInArrow(cut, schema).repartition(parts, "part").sortWithinPartitions("part"))
-    return rows.mapInArrow(sort, "gram long, low int, name binary, a int, b int")
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pieces.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(sort, _RANGES)
+
+
+def _large_groups(pieces: DataFrame, length: int, keep) -> DataFrame:
+    """The same for the pieces of large groups, none of whose parts is gathered beyond ``GROUP`` different pieces."""
+    key = ["part", "shift", "piece"]
+    pieces = keep(pieces.withColumn("piece", F.unhex(F.substring(F.sha2("bytes", 256), 1, 32))), "pieces")
+    different = keep(pieces.groupBy(*key).agg(F.count("*").alias("n"), F.first("bytes").alias("bytes")), "different-pieces")
+    sizes = keep(different.groupBy("part").agg(F.count("*").alias("k")).where("k > 1"), "part-sizes")  # combined before the shuffle
+    sized = different.join(sizes, "part")
+    as_names = lambda df: df.select("part", F.col("part").alias("gram"), F.col("shift").alias("low"), F.col("piece").alias("name"), "shift", "bytes")
+    back = lambda df: df.select(F.col("gram").alias("part"), F.col("low").alias("shift"), F.col("name").alias("piece"), "a", "b")
+    sorted_ = back(_sorted_columns(as_names(sized.where(F.col("k") <= GROUP)), length))
+    # several segments have the same piece: all its strings repeat
+    equal = different.where("n > 1").select(*key, F.col("shift").alias("a"), (F.col("shift") + F.length("bytes") - length).cast("int").alias("b"))
+
+    def strings(batches):
+        for b in batches:
+            of, column, hashes = [], [], []
+            for i, (shift, body) in enumerate(zip(b.column("shift").to_pylist(), b.column("bytes").to_pylist())):
+                for c in range(len(body) - length + 1):
+                    of.append(i)
+                    column.append(shift + c)
+                    hashes.append(hashlib.blake2b(body[c:c + length], digest_size=16).digest())
+            at = pa.array(of, pa.int64())
+            yield pa.record_batch([*(b.column(c).take(at) for c in key), pa.array(column, pa.int32()), pa.array(hashes, pa.binary())],
+                                  names=[*key, "column", "string"])
+
+    single = keep(sized.where(F.col("k") > GROUP).select(*key, "bytes")
+                  .mapInArrow(strings, "part long, shift int, piece binary, column int, string binary"), "single-columns")
+    again = keep(single.groupBy("part", "column", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated-strings")
+    alone = single.join(again, ["part", "column", "string"], "left_semi").select(*key, F.col("column").alias("a"), F.col("column").alias("b"))
+    ranges = keep(sorted_.unionByName(equal).unionByName(alone), "piece-columns")
+    return pieces.drop("bytes").join(ranges, key).select("gram", "low", "name", "a", "b")
 
 
 def _one_collection(rows: pa.Table, length: int):
@@ -265,30 +308,33 @@ def _one_collection(rows: pa.Table, length: int):
                           names=["gram", "low", "name", "a", "b"])
 
 
-def repeated_strings(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_strings(texts: DataFrame, length: int = LENGTH, keep=materialize) -> DataFrame:
     """(digest, a, b): ranges of starts of strings of ``length`` bytes that start
-    anywhere else too, in the distinct ``texts`` (digest, body; a stored table)."""
-    found = materialize(_anchor_rows(texts, length), "anchors")
+    anywhere else too, in the distinct ``texts`` (digest, body; a stored table). ``keep`` stores intermediate tables."""
+    found = keep(_anchor_rows(texts, length), "anchors")
     twice = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     wanted = found.join(twice, "gram")
-    named = materialize(_segment_names(texts, wanted, length), "segments")
+    named = keep(_segment_names(texts, wanted, length), "segments")
     key = ["gram", "low", "name"]
-    distinct = materialize(named.groupBy(*key).agg(F.count("*").alias("n"), F.max("high").alias("high"), F.min(F.struct("digest", "place")).alias("one")),
-                           "distinct-segments")
+    distinct = keep(named.groupBy(*key).agg(F.count("*").alias("n"), F.max("high").alias("high"), F.min(F.struct("digest", "place")).alias("one")),
+                    "distinct-segments")
     groups = distinct.groupBy("gram").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1")
     step = F.when(F.col("k") > GROUP, F.lit(RANGE)).otherwise(F.lit(0)).alias("step")
     members = distinct.join(groups, "gram").select(*key, "high", "one.digest", "one.place", step)
-    shared = _sorted_columns(texts, members, length)
+    shared = _sorted_columns(_cut_pieces(texts, members.where("step = 0"), length), length)
+    large = keep(members.where("step > 0"), "large-members")
+    if not large.isEmpty():
+        shared = shared.unionByName(_large_groups(_cut_pieces(texts, large, length), length, keep))
     # segments that stand for several are repeated as a whole
     whole = distinct.where("n > 1").select(*key, F.col("low").alias("a"), F.col("high").alias("b"))
-    ranges = materialize(shared.unionByName(whole), "repeated-columns")
+    ranges = keep(shared.unionByName(whole), "repeated-columns")
     return named.join(ranges, key).select("digest", (F.col("place") + F.col("a")).alias("a"), (F.col("place") + F.col("b")).alias("b"))
 
 
-def remove_repeats(texts: DataFrame, length: int) -> DataFrame:
+def remove_repeats(texts: DataFrame, length: int, keep=materialize) -> DataFrame:
     """(text_digest, n_bytes, spans, kept) of every distinct text: spans is the
     array of maximal removed runs (start, end) in bytes, kept the remaining bytes."""
-    starts = repeated_strings(texts, length).groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("starts"))  # bounded by the text's bytes
+    starts = repeated_strings(texts, length, keep).groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("starts"))  # bounded by the text's bytes
 
     def take_out(batches):
         for b in batches:
@@ -320,13 +366,22 @@ def repeats_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Null and empty texts have no bytes; repeated rows are copies of each other, so
     theirs are removed from ``length`` bytes on; a null doc_id stays; other columns are not read."""
-    texts, name = distinct_texts(docs)
+    spark = docs.sparkSession
+    paths = [scratch_path(spark, "repeats-texts")]
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        return materialize(df, name, paths[-1])
+
+    texts, name = distinct_texts(docs, paths[0])
     try:
-        cut = remove_repeats(texts, length)
+        cut = remove_repeats(texts, length, keep)
         removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
         report = materialize(cut.select("text_digest", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                                         F.sha2("kept", 256).alias("kept_sha256")), "repeats-report")
     finally:
-        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in paths:
+            delete_path(spark, path)
     rows = docs.select("doc_id", F.unhex(F.sha2(F.encode(whole_text(), "utf-8"), 256)).alias("text_digest"))
     return rows.join(report, "text_digest").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
