@@ -58,7 +58,7 @@ def test_empty_documents(spark, folder):
 
 def test_registered():
     names = set(queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert set(oracle_sql()) <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "secrets", "packing"]
     assert os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py"
