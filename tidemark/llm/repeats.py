@@ -312,13 +312,14 @@ def repeated_strings(texts: DataFrame, length: int = LENGTH, keep=materialize) -
     """(digest, a, b): ranges of starts of strings of ``length`` bytes that start
     anywhere else too, in the distinct ``texts`` (digest, body; a stored table). ``keep`` stores intermediate tables."""
     found = keep(_anchor_rows(texts, length), "anchors")
-    twice = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # stored, so that both sides of the join are plain and Spark may split a gram that many rows have
+    twice = keep(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-grams")
     wanted = found.join(twice, "gram")
     named = keep(_segment_names(texts, wanted, length), "segments")
     key = ["gram", "low", "name"]
     distinct = keep(named.groupBy(*key).agg(F.count("*").alias("n"), F.max("high").alias("high"), F.min(F.struct("digest", "place")).alias("one")),
                     "distinct-segments")
-    groups = distinct.groupBy("gram").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1")
+    groups = keep(distinct.groupBy("gram").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1"), "gram-groups")
     step = F.when(F.col("k") > GROUP, F.lit(RANGE)).otherwise(F.lit(0)).alias("step")
     members = distinct.join(groups, "gram").select(*key, "high", "one.digest", "one.place", step)
     shared = _sorted_columns(_cut_pieces(texts, members.where("step = 0"), length), length)
