@@ -68,3 +68,35 @@ def test_no_frame_runs_to_the_end(spark):
     nb = D._with_neighbours(rows)
     for df in (nb, D._tail_map(D._segments(nb))):
         assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_interval_join_spreads_pairs_of_small_tables(spark):
+    """Two feeds far below the broadcast limit with far more pairs than rows: the pairs must not
+    all come from the one task that reads a feed."""
+    old = _no_coalesce(spark)
+    try:
+        a = trades_a(spark, [("BTCUSDT", T0 + i * 50, i, 100, 1) for i in range(1500)]).coalesce(1)
+        b = trades_b(spark, [("BTC-USD", T0 + i * 50 + 1, i, 100, 1) for i in range(1500)]).coalesce(1)
+        j = interval_join(a, b)
+        by_task = [r["count"] for r in j.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        # b is 1 ms later: partners at j - i from -200 to 199
+        assert sum(by_task) == sum(1500 - abs(d) for d in range(-200, 200))
+        assert len(by_task) > 1 and max(by_task) < 0.8 * sum(by_task)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_no_pair_goes_through_a_decimal(spark):
+    """r6 gives what round(x * 1e6, 0) / 1e6 gives, ties, zeros, infinities and nulls included, without
+    the decimal that ``round`` makes of every double."""
+    import random
+
+    from tidemark.plans.queries import r6
+
+    rnd = random.Random(3)
+    xs = [0.0, -0.0, -1e-9, 5e-7, -5e-7, 1.5e-6, 2.5e-6, -2.5e-6, 1e300, 1e17, float("inf"), float("-inf"), float("nan"), None]
+    xs += [rnd.randint(-10**9, 10**9) / 2e6 for _ in range(2000)] + [rnd.uniform(-1e6, 1e6) for _ in range(2000)]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select(
+        r6("x").cast("string").alias("got"), (F.round(F.col("x") * 1e6, 0) / 1e6).cast("string").alias("want"))
+    assert [r for r in got.collect() if r.got != r.want] == []
+    assert "round(" not in got.select("got")._jdf.queryExecution().optimizedPlan().toString().lower()
