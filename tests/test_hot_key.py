@@ -70,14 +70,16 @@ def test_no_frame_runs_to_the_end(spark):
         assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
-def test_interval_join_spreads_pairs_of_small_tables(spark):
+def test_interval_join_spreads_pairs_of_small_tables(spark, tmp_dir):
     """Two feeds far below the broadcast limit with far more pairs than rows: the pairs must not
     all come from the one task that reads a feed."""
     old = _no_coalesce(spark)
     try:
         a = trades_a(spark, [("BTCUSDT", T0 + i * 50, i, 100, 1) for i in range(1500)]).coalesce(1)
         b = trades_b(spark, [("BTC-USD", T0 + i * 50 + 1, i, 100, 1) for i in range(1500)]).coalesce(1)
-        j = interval_join(a, b)
+        a.write.parquet(tmp_dir + "/a")
+        b.write.parquet(tmp_dir + "/b")
+        j = interval_join(spark.read.parquet(tmp_dir + "/a"), spark.read.parquet(tmp_dir + "/b"))
         by_task = [r["count"] for r in j.groupBy(F.spark_partition_id().alias("p")).count().collect()]
         # b is 1 ms later: partners at j - i from -200 to 199
         assert sum(by_task) == sum(1500 - abs(d) for d in range(-200, 200))
